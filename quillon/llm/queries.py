@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillon.llm import exact_dedup, mixing, packing
+from quillon.llm import ann, exact_dedup, mixing, packing, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,10 +19,18 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(_table(spark, sf_dir, "documents"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(_table(spark, sf_dir, "pages"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_mixing, op9_exact_dedup)}
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op2_packing, op3_mixing, op5_url_filter, op9_exact_dedup, op10_nearest_neighbours)}
 
-ORACLES = {"op3_mixing": mixing.OP3_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL}
+ORACLES = {"op5_url_filter": url_filter.OP5_SQL, "op3_mixing": mixing.OP3_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL}
