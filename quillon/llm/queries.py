@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillon.llm import ann, exact_dedup, mixing, packing, url_filter
+from quillon.llm import ann, exact_dedup, license_scan, mixing, packing, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licenses(_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,6 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_mixing, op5_url_filter, op9_exact_dedup, op10_nearest_neighbours)}
+QUERIES = {f.__name__: f for f in (op2_packing, op3_mixing, op5_url_filter, op8_license_scan, op9_exact_dedup, op10_nearest_neighbours)}
 
 ORACLES = {"op5_url_filter": url_filter.OP5_SQL, "op3_mixing": mixing.OP3_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL}
