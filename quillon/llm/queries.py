@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillon.llm import ann, exact_dedup, license_scan, mixing, packing, url_filter
+from quillon.llm import ann, exact_dedup, license_scan, mixing, near_dedup, packing, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,6 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_mixing, op5_url_filter, op8_license_scan, op9_exact_dedup, op10_nearest_neighbours)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_packing, op3_mixing, op5_url_filter, op8_license_scan, op9_exact_dedup, op10_nearest_neighbours)}
 
-ORACLES = {"op5_url_filter": url_filter.OP5_SQL, "op3_mixing": mixing.OP3_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL}
+ORACLES = {"op1_near_dedup": near_dedup.OP1_SQL, "op5_url_filter": url_filter.OP5_SQL, "op3_mixing": mixing.OP3_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL}
