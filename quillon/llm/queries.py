@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillon.llm import ann, exact_dedup, license_scan, mixing, near_dedup, packing, url_filter
+from quillon.llm import ann, exact_dedup, license_scan, mixing, near_dedup, packing, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, sf_dir, "pages"))
 
@@ -39,6 +43,6 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_packing, op3_mixing, op5_url_filter, op8_license_scan, op9_exact_dedup, op10_nearest_neighbours)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_packing, op3_mixing, op4_toxicity, op5_url_filter, op8_license_scan, op9_exact_dedup, op10_nearest_neighbours)}
 
 ORACLES = {"op1_near_dedup": near_dedup.OP1_SQL, "op5_url_filter": url_filter.OP5_SQL, "op3_mixing": mixing.OP3_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL}
