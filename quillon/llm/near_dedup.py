@@ -8,11 +8,12 @@ is split into chunks: by pigeonhole, of two signatures within the
 distance some chunk differs in at most ``CHUNK_ERRORS`` symbols, and a chunk emits a
 key for each choice of symbols left out. Every pair within the distance thus shares a key.
 
-Keys held by one class only go. In each bucket all classes are first held against the
-bucket's smallest class. Links that the full sets confirm make components;
-pairs of a bucket inside one component need no link of their own, and only pairs across
-components are still held against each other: in small buckets by a join, in larger ones in blocks of
-``BLOCK`` classes a side, so no task holds a whole bucket.
+A bucket of classes with one key is represented by its smallest class, the hub. The full sets tell
+for each class of the bucket whether it is linked with the hub, and how the two sets differ. Classes
+with a common hub meet again: the size of the difference of two sets follows exactly from their
+differences from the hub, so every pair that holds a class not linked with the hub is
+decided on full sets, without shipping them. A hub with many classes is cut into blocks of ``BLOCK``;
+every two blocks meet in a task of their own, and a task gives back links that span its groups, not pairs.
 
 Nulls and repeats: a null, empty or blank text has an empty set and is linked with nothing; rows
 with a null identifier are linked with nothing but take the component of an equal set; repeated rows
@@ -30,12 +31,11 @@ from pyspark.sql import functions as F
 
 from quillon.llm.components import components
 from quillon.llm.kernels import lower_ascii, mix64, prefix_hash, row_slices, shingle_hashes, span_hash, text_buffer, words
-from quillon.llm.shared import share
+from quillon.llm.shared import matched, share
 
 SYMBOLS = 64
 CHUNK_ERRORS = 1
 MISS = 1e-5
-SMALL_BUCKET = 32
 BLOCK = 512
 _LINES = 4096
 
@@ -129,31 +129,35 @@ def _keys(classes: DataFrame, distance: int) -> DataFrame:
     return classes.select("rep", "sig").mapInArrow(emit, "key long, rep long")
 
 
-def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a != b).sum(axis=-1)
+def _rooted(stars: DataFrame, classes: DataFrame, distance: int) -> DataFrame:
+    """(hub, rep) with hubs replaced by the smallest hub that is near to them, twice over.
 
-
-def _near(pairs: DataFrame, classes: DataFrame, distance: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b), those whose signatures are near and whose set sizes allow the threshold."""
-    a = classes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
-    b = classes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
+    Classes of one bucket keep a common hub, and the many hubs of a family of near copies become few.
+    """
+    hubs = stars.select(F.col("hub").alias("rep")).distinct()
+    signed = classes.select("rep", "sig").join(hubs, "rep", "left_semi")
+    between = stars.join(hubs, "rep", "left_semi").join(signed, "rep").join(signed.select(F.col("rep").alias("hub"), F.col("sig").alias("other")), "hub")
 
     def near(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            left, right = (text_buffer(batch.column(c))[0].view(np.uint16).reshape(-1, SYMBOLS) for c in (2, 3))
-            yield batch.filter(pa.array(_distance(left, right) <= distance)).select([0, 1])
+            if batch.num_rows:
+                x, y = (text_buffer(batch.column(c))[0].view(np.uint16).reshape(-1, SYMBOLS) for c in (2, 3))
+                yield batch.filter(pa.array((x != y).sum(axis=1) <= distance)).select([0, 1])
 
-    fits = f"least(na, nb) * 100 >= greatest(na, nb) * {percent}"
-    both = pairs.join(a, "a").join(b, "b").where(fits).select("a", "b", "sa", "sb")
-    return both.mapInArrow(near, "a long, b long")
+    close = between.select("hub", "rep", "sig", "other").mapInArrow(near, "hub long, rep long")
+    up = share(close.groupBy(F.col("rep").alias("h")).agg(F.min("hub").alias("up"))).df
+    second = up.join(up.select(F.col("h").alias("up"), F.col("up").alias("top")), "up", "left")
+    roots = share(second.select(F.col("h").alias("hub"), F.coalesce("top", "up").alias("root")))
+    moved = matched(stars, roots, "hub", "left").select(F.coalesce("root", "hub").alias("hub"), "rep")
+    own = roots.df.select(F.col("root").alias("hub"), F.col("hub").alias("rep"))
+    return moved.unionByName(own).where("hub != rep").distinct()
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
-    """Of the pairs, those whose full sets meet the threshold: 100 * intersection >= percent * union."""
-    needed = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).join(needed, "rep", "left_semi")
+def _stars(stars: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
+    """(hub, rep, n, linked, delta): rep's set size, whether it is linked with its hub, and the hashes that only one of the two has."""
+    needed = share(stars.select("rep").unionByName(stars.select(F.col("hub").alias("rep"))).distinct())
+    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
+    texts = matched(texts, needed, "rep", "left_semi")
 
     def collect(batches):
         for batch in batches:
@@ -161,59 +165,120 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, sh
             sets = [s.tobytes() for s in sets_of(data, offsets, shingle)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["rep", "hashes"])
 
-    sets = share(texts.mapInArrow(collect, "rep long, hashes binary")).df
+    sets = share(texts.mapInArrow(collect, "rep long, hashes binary"))
 
-    def confirm(batches):
+    def differ(batches):
         for batch in batches:
-            ok = np.zeros(batch.num_rows, dtype=bool)
+            linked, n, deltas = [], [], []
             for i in range(batch.num_rows):
                 x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), dtype=np.uint64) for c in (2, 3))
-                common = len(x) + len(y) - len(np.union1d(x, y))
-                ok[i] = 100 * common >= percent * (len(x) + len(y) - common)
-            yield batch.filter(pa.array(ok)).select([0, 1])
-
-    a = sets.select(F.col("rep").alias("a"), F.col("hashes").alias("ha"))
-    b = sets.select(F.col("rep").alias("b"), F.col("hashes").alias("hb"))
-    both = pairs.join(a, "a").join(b, "b").select("a", "b", "ha", "hb")
-    return both.mapInArrow(confirm, "a long, b long").distinct()
-
-
-def _across(buckets: DataFrame, members: DataFrame, classes: DataFrame, distance: int) -> DataFrame:
-    """Pairs (a, b), a < b, of different components that share a bucket.
+                delta = np.setxor1d(x, y, assume_unique=True)
+                linked.append(_linked(len(x), len(y), len(delta), percent))
+                n.append(len(x))
+                deltas.append(delta.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(linked, pa.bool_()), pa.array(deltas, pa.binary())],
+                names=["hub", "rep", "n", "linked", "delta"],
+            )
 
-    ``buckets`` (key, size) are those with several components, ``members`` (key, rep, comp) their
-    classes. A small bucket is joined with itself: at most ``SMALL_BUCKET`` partners
-    a class. A larger one is cut into blocks and every two blocks meet in a task of their
-    own, where near signatures alone become rows.
-    """
-    small = members.join(buckets.where(f"size <= {SMALL_BUCKET}").select("key"), "key", "left_semi")
-    left = small.select("key", F.col("rep").alias("a"), F.col("comp").alias("ca"))
-    right = small.select("key", F.col("rep").alias("b"), F.col("comp").alias("cb"))
-    pairs = left.join(right, "key").where("a < b AND ca != cb").select("a", "b")
-
-    large = members.join(buckets.where(f"size > {SMALL_BUCKET}").select("key", F.expr(f"cast(ceil(size / {BLOCK}) AS int)").alias("blocks")), "key")
-    large = large.join(classes.select("rep", "sig"), "rep").withColumn("own", F.pmod(F.xxhash64("rep", "key"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    met = large.select("key", "rep", "comp", "sig", "own", other).select(
-        "key", "rep", "comp", "sig", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    own = sets.df.withColumnRenamed("hashes", "own")
+    hubs = sets.df.select(F.col("rep").alias("hub"), F.col("hashes").alias("other"))
+    both = stars.join(own, "rep").join(hubs, "hub").select("hub", "rep", "own", "other")
+    table = share(both.mapInArrow(differ, "hub long, rep long, n long, linked boolean, delta binary"))
+    sets.drop()
+    return table.df
+
+
+def _linked(n, m, differ, percent: int):
+    """100 * intersection >= percent * union, from the sizes of two sets and of their difference."""
+    return 100 * (n + m - differ) >= percent * (n + m + differ)
+
+
+def _spanning(reps, sizes, linked, blocks, i: int, j: int, deltas: list[np.ndarray], percent: int) -> np.ndarray:
+    """Links (a, b) that span the groups of the classes of blocks i and j of one hub."""
+    lengths = np.array([len(d) for d in deltas])
+    flat = np.concatenate(deltas)
+    _, code, seen = np.unique(flat, return_inverse=True, return_counts=True)
+    member = np.repeat(np.arange(len(deltas)), lengths)
+    often = seen[code] > 1
+    member, (columns, code) = member[often], np.unique(code[often], return_inverse=True)
+    common = np.zeros((len(deltas), len(deltas)), dtype=np.float32)
+    for k in range(0, len(columns), _LINES):
+        part = (code >= k) & (code < k + _LINES)
+        held = np.zeros((len(deltas), min(_LINES, len(columns) - k)), dtype=np.float32)
+        held[member[part], code[part] - k] = 1
+        common += held @ held.T
+    differ = lengths[:, None] + lengths - 2 * common.astype(np.int64)
+    near = _linked(sizes[:, None], sizes, differ, percent) & ~(linked[:, None] & linked)
+    near &= ((blocks == i)[:, None] & (blocks == j)) | ((blocks == j)[:, None] & (blocks == i))
+    np.fill_diagonal(near, True)
+    group = np.arange(len(deltas))
+    if linked.any():
+        group[linked] = np.flatnonzero(linked)[0]
+    while True:
+        least = np.where(near, group, len(group)).min(axis=1)
+        if linked.any():
+            least[linked] = least[linked].min()
+        least = np.minimum(least, least[least])
+        if (least == group).all():
+            break
+        group = least
+    other = (group != np.arange(len(group))) & ~(linked & linked[group])
+    return np.stack([reps[other], reps[group[other]]], axis=1)
+
+
+def _met(stars: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the classes of a hub, but for those that are linked with it anyway."""
+    hubs = stars.groupBy("hub").agg(F.count_if(~F.col("linked")).alias("far"), F.count(F.lit(1)).alias("all")).where("far > 0 AND all > 1")
+    hubs = hubs.selectExpr("hub", f"cast(ceil(far / {BLOCK}) AS int) AS far_blocks", f"cast(ceil((all - far) / {BLOCK}) AS int) AS near_blocks")
+    spread = F.xxhash64("rep")
+    placed = stars.join(hubs, "hub").withColumn(
+        "block",
+        F.when(F.col("linked"), F.col("far_blocks") + F.pmod(spread, F.greatest("near_blocks", F.lit(1)))).otherwise(F.pmod(spread, F.col("far_blocks"))).cast("int"),
+    )
+    partners = F.expr("sequence(0, if(linked, far_blocks, far_blocks + near_blocks) - 1)")
+    pairs = placed.withColumn("with", F.explode(partners)).select(
+        "hub", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "rep", "n", "linked", "block", "delta"
     )
 
-    def meet(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        reps, comps, own = (table.column(c).to_numpy() for c in ("rep", "comp", "own"))
-        raw, _ = text_buffer(table.column("sig"))
-        sig = raw.view(np.uint16).reshape(-1, SYMBOLS)
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        rows, columns = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        out = []
-        for r in rows:
-            hit = columns[(_distance(sig[columns], sig[r]) <= distance) & (comps[columns] != comps[r])]
-            if len(hit):
-                out.append(np.stack([np.minimum(reps[hit], reps[r]), np.maximum(reps[hit], reps[r])], axis=1))
-        found = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), dtype=np.int64)
-        return pa.table({"a": pa.array(found[:, 0], pa.int64()), "b": pa.array(found[:, 1], pa.int64())})
+    def meet(batches):
+        held: list[pa.RecordBatch] = []
+
+        def settle(rows: pa.RecordBatch):
+            keys = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in range(3)], axis=1)
+            edges = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1), [True]]))
+            reps, sizes, blocks = (rows.column(c).to_numpy() for c in (3, 4, 6))
+            linked = rows.column(5).to_numpy(zero_copy_only=False)
+            raw, offsets = text_buffer(rows.column(7))
+            found = []
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if b - a > 1:
+                    deltas = [np.frombuffer(raw[offsets[k] : offsets[k + 1]].tobytes(), dtype=np.uint64) for k in range(a, b)]
+                    found.append(_spanning(reps[a:b], sizes[a:b], linked[a:b], blocks[a:b], keys[a, 1], keys[a, 2], deltas, percent))
+            links = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], names=["a", "b"])
+
+        def last_key(rows: pa.RecordBatch) -> tuple:
+            return tuple(rows.column(c)[-1].as_py() for c in range(3))
 
-    return pairs.unionByName(met.groupBy("key", "i", "j").applyInArrow(meet, "a long, b long")).distinct()
+        for batch in batches:
+            for k in range(0, batch.num_rows, 1024):
+                part = batch.slice(k, 1024)
+                end = last_key(part)
+                same = np.ones(part.num_rows, dtype=bool)
+                for c in range(3):
+                    same &= part.column(c).to_numpy() == end[c]
+                cut = int(np.argmax(same))  # rows are sorted: the last group may go on
+                first = tuple(part.column(c)[0].as_py() for c in range(3))
+                if cut or (held and last_key(held[-1]) != first):
+                    done, held = [x for x in (*held, part.slice(0, cut)) if x.num_rows], []
+                    if done:
+                        yield settle(pa.Table.from_batches(done).combine_chunks().to_batches()[0])
+                held.append(part.slice(cut))
+        if held:
+            yield settle(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+
+    return pairs.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j").mapInArrow(meet, "a long, b long")
 
 
 def near_dedup(
@@ -233,29 +298,14 @@ def near_dedup(
     ).df
 
     keys = share(_keys(classes, distance))
-    shared = keys.df.groupBy("key").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = share(keys.df.join(shared, "key"))
+    buckets = keys.df.groupBy("key").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
+    stars = share(keys.df.join(buckets, "key").where("rep != hub").select("hub", "rep").distinct()).df
     keys.drop()
-
-    stars = members.df.where("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    stars = share(_near(stars, classes, distance, percent)).df
-    links = share(_confirmed(stars, docs, id_col, text_col, shingle, percent)).df
+    stars = share(_rooted(stars, classes, distance)).df
+    stars = _stars(stars, docs, id_col, text_col, shingle, percent)
+    links = stars.where("linked").select(F.col("hub").alias("a"), F.col("rep").alias("b")).unionByName(_met(stars, percent))
     groups = share(components(links)).df
 
-    placed = members.df.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", "size", F.coalesce("component", "rep").alias("comp")
-    )
-    placed = share(placed).df
-    members.drop()
-    buckets = placed.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.first("size").alias("size"))
-    buckets = share(buckets.where("least != most").select("key", "size")).df
-    open_members = placed.join(buckets, "key", "left_semi").select("key", "rep", "comp")
-    more = _across(buckets, open_members, classes, distance).join(stars, ["a", "b"], "left_anti")
-    more = share(_near(more, classes, distance, percent)).df
-    if not more.isEmpty():
-        links = links.unionByName(_confirmed(more, docs, id_col, text_col, shingle, percent))
-        groups = share(components(links)).df
-
     reps = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
         "h1", "h2", F.col("n").alias("m"), F.coalesce("component", "rep").alias("component")
     )
@@ -269,9 +319,8 @@ def near_dedup(
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each group, and documents without words."""
-    fate = near_dedup(docs, id_col, text_col, shingle, percent).where("NOT kept").select(F.col(id_col).alias("_gone")).distinct()
-    kept = docs.join(share(fate).df, docs[id_col] == F.col("_gone"), "left_anti")
-    return kept
+    gone = near_dedup(docs, id_col, text_col, shingle, percent).where("NOT kept").select(F.col(id_col).alias("_gone")).distinct()
+    return matched(docs, share(gone), F.col(id_col) == F.col("_gone"), "left_anti")
 
 
 OP1_SQL = """

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _LOCAL: dict[str, str] = {}
+#: Keys (a few numbers each) are broadcast up to this many rows, and joined by a shuffle beyond.
+BROADCAST_ROWS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -67,6 +69,12 @@ def share(df: DataFrame) -> Shared:
     return Shared(spark, path, df.schema)
 
 
+def matched(rows: DataFrame, keys: Shared, on, how: str) -> DataFrame:
+    """``rows`` joined with a written table of keys, which is broadcast if its size allows."""
+    few = keys.df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(keys.df) if few else keys.df, on, how)
+
+
 def running_total(
     df: DataFrame, keys: list[str], order: list[str], digest: str, amount: Column, rows: int, out: str
 ) -> DataFrame:
