@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.shared import share
+from quillon.llm.shared import matched, share
 
 FAN_IN = 8
 LEAVES = 512
@@ -77,20 +77,20 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    fate = (
-        exact_dedup(docs, id_col, text_col)
-        .groupBy(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
-        .agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("copies"))
-    )
-    fate = share(fate.where(~F.col("stays") | (F.col("copies") > 1))).df
-    marked = docs.withColumn("_sha256", F.sha2(normalised(F.col(text_col)), 256))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_sha256") == F.col("_sha"))
-    single = marked.join(fate, same, "left_anti")
-    repeated = fate.where("stays")
+    rows = share(_digested(docs, id_col, text_col).withColumn("seq", F.monotonically_increasing_id())).df
+    kept = tree_merge(rows).select(F.col("keep.seq").alias("seq"), F.lit(True).alias("stays"))
+    fate = rows.select("id", "check", "seq").join(kept, "seq", "left").groupBy(F.col("id").alias("_id"), F.col("check").alias("_same")).agg(
+        F.coalesce(F.bool_or("stays"), F.lit(False)).alias("stays"), F.count(F.lit(1)).alias("copies")
+    )
+    fate = share(fate.where("NOT stays OR copies > 1"))
+    marked = docs.withColumn("_check", F.xxhash64(normalised(F.col(text_col))))
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_check") == F.col("_same"))
+    single = matched(marked, fate, same, "left_anti")
+    repeated = fate.df.where("stays")
     if repeated.isEmpty():
-        return single.drop("_sha256")
-    twice = marked.join(repeated, same, "left_semi").dropDuplicates([id_col, "_sha256"])
-    return single.unionByName(twice).drop("_sha256")
+        return single.drop("_check")
+    twice = marked.join(repeated, same, "left_semi").dropDuplicates([id_col, "_check"])
+    return single.unionByName(twice).drop("_check")
 
 
 OP9_SQL = """
