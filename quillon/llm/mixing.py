@@ -15,6 +15,7 @@ ones; equal identifiers are ordered by size. An empty table gives an empty resul
 
 from __future__ import annotations
 
+import hashlib
 import math
 from dataclasses import dataclass
 
@@ -155,10 +156,10 @@ def mix(rows: DataFrame, sources: list[Source], block: int = BLOCK_WORDS) -> Dat
     """The mix: (slot, seq, s, pass, first_word, n_words), one row for each stretch of a document in a slot."""
     spark = rows.sparkSession
     placed = running_total(
-        rows.where("size > 0").select("seq", "source", "size", "digest"),
-        ["source"], ["digest", "size", "seq"], "digest", F.col("size"), max((x.rows for x in sources), default=0), "start",
+        rows.where("size > 0").select("seq", "source", "size", "digest", "print"),
+        ["source"], ["digest", "size", "print"], "digest", F.col("size"), max((x.rows for x in sources), default=0), "start",
     )
-    placed = placed.join(_source_table(spark, sources), F.col("source").eqNullSafe(F.col("name"))).drop("digest")
+    placed = placed.join(_source_table(spark, sources), F.col("source").eqNullSafe(F.col("name"))).drop("digest", "print")
     passes = F.explode(F.sequence(F.lit(0), F.lit(MOST_PASSES - 1)))
     at = placed.withColumn("pass", passes).withColumn("at", F.col("start") + F.col("pass") * F.col("source_size"))
     at = at.where("at < words").withColumn("to", F.least(F.col("at") + F.col("size"), F.col("words")))
@@ -187,26 +188,26 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
 def mixed_corpus(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", block: int = BLOCK_WORDS) -> DataFrame:
     """The documents of the mix, with the columns of ``docs``: a row for each pass over a document.
 
-    The document at which a source's target ends gives its first words only; ``n_chars``,
-    if there, then follows the text. Rows with the same identifier and text count as one.
+    A source takes its documents in their fixed order, so its last document of a pass tells for every
+    row, where it stands, whether the pass takes it: texts are not moved. The document at which a source's target ends
+    gives its first words only; ``n_chars``, if there, then follows the text. Rows with the same
+    identifier and text count as one.
     """
-    table = measured(docs, id_col, source_col, text_col)
-    rows = table.df
+    rows = measured(docs, id_col, source_col, text_col).df
     keys = ["id", "print", "source"]
     if not rows.groupBy(*keys).count().where("count > 1").isEmpty():
         docs = docs.dropDuplicates([id_col, source_col, text_col])
         rows = rows.dropDuplicates(keys)
     sources = plan_sources(rows)
-    taken = mix(rows, sources, block).groupBy("seq", "pass").agg(F.sum("n_words").alias("n"))
-    taken = taken.join(rows.select("seq", "id", "print", "size"), "seq")
-    parts = share(
-        taken.groupBy("id", "print").agg(F.collect_list(F.when(F.col("n") < F.col("size"), F.col("n")).otherwise(F.lit(-1))).alias("_parts"))
-    ).df
+    taken = mix(rows, sources, block).groupBy("seq", "s", "pass").agg(F.sum("n_words").alias("n"))
+    place = F.struct("digest", "size", "print")
+    ends = taken.join(rows.select("seq", "digest", "size", "print"), "seq").groupBy("s", "pass").agg(F.max(place).alias("last"), F.max_by("n", place).alias("n"))
+    limits: dict[str | None, list] = {}  # at most MOST_PASSES entries a source
+    for r in ends.collect():
+        limits.setdefault(sources[r["s"]].name, []).append(((bytes(r["last"]["digest"]), r["last"]["size"], r["last"]["print"]), r["n"]))
     columns, schema = docs.columns, docs.schema
-    at_id, at_text = columns.index(id_col), columns.index(text_col)
+    at_id, at_source, at_text = (columns.index(c) for c in (id_col, source_col, text_col))
     at_chars = columns.index("n_chars") if "n_chars" in columns else None
-    listed = parts.select(F.col("id").alias("_mix_id"), F.struct("print", "_parts").alias("_mix")).groupBy("_mix_id").agg(F.collect_list("_mix").alias("_mix"))
-    joined = docs.join(listed, docs[id_col].eqNullSafe(F.col("_mix_id"))).drop("_mix_id")
 
     def cut(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -214,7 +215,7 @@ def mixed_corpus(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sou
         fields = to_arrow_schema(schema)
         for batch in batches:
             data, offsets = text_buffer(batch.column(at_text))
-            plans = batch.column(len(columns)).to_pylist()
+            ids, own_source = batch.column(at_id).to_pylist(), batch.column(at_source).to_pylist()
             picks, cuts = [], []
             for a, b in row_slices(offsets):
                 own = offsets[a : b + 1] - offsets[a]
@@ -222,15 +223,18 @@ def mixed_corpus(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sou
                 prints = span_hash(prefix_hash(raw), own[:-1], own[1:]).view(np.int64)
                 _, ends, first = words(raw, own)
                 for k in range(b - a):
-                    for plan in plans[a + k]:
-                        if plan["print"] != prints[k]:
-                            continue
-                        for n in sorted(plan["_parts"], key=lambda x: (x >= 0, x)):
+                    size = int(first[k + 1] - first[k])
+                    if not size:
+                        continue
+                    i = ids[a + k]
+                    at = (hashlib.md5(b"" if i is None else str(i).encode()).digest(), size, int(prints[k]))
+                    for last, n in limits.get(own_source[a + k], ()):
+                        if at <= last:
                             picks.append(a + k)
-                            cuts.append(None if n < 0 else int(ends[first[k] + n - 1] - own[k]))
+                            cuts.append(int(ends[first[k] + n - 1] - own[k]) if at == last and n < size else None)
             if not picks:
                 continue
-            out = pa.Table.from_batches([batch]).select(columns).take(pa.array(picks, pa.int64()))
+            out = pa.Table.from_batches([batch]).take(pa.array(picks, pa.int64()))
             if any(c is not None for c in cuts):
                 texts = out.column(at_text).to_pylist()
                 short = [t if c is None else t.encode()[:c].decode() for t, c in zip(texts, cuts, strict=True)]
@@ -241,8 +245,7 @@ def mixed_corpus(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sou
                     out = out.set_column(at_chars, columns[at_chars], pa.array(now, fields.field(at_chars).type))
             yield from out.cast(fields).combine_chunks().to_batches()
 
-    assert at_id >= 0
-    return joined.select(*columns, "_mix").mapInArrow(cut, schema)
+    return docs.mapInArrow(cut, schema)
 
 
 OP3_SQL = """
