@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quillon import vocab as V
 
@@ -64,7 +65,7 @@ def adequacy(token_list: Column, min_tokens: int = V.MIN_TOKENS) -> Column:
     n = F.size(token_list).cast("double")
     stop = F.size(F.filter(token_list, lambda t: t.isin(*V.STOP_WORDS))).cast("double")
     value = 0.4 * F.least(F.lit(1.0), n / float(min_tokens)) + 0.6 * (1.0 - stop / F.nullif(n, F.lit(0.0)))
-    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)), F.lit(0.0))
+    return F.when(n > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), value))).otherwise(0.0)
 
 
 def local_name(iri: Column) -> Column:
@@ -91,7 +92,7 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.nullif(F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)), F.lit(0.0))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     """Unicode NFKC, which Spark has no function for."""
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))

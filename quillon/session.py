@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import os
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _ROOT = Path(__file__).resolve().parent.parent
 _SHIPPED: set[str] = set()
+_SCRATCH: dict[str, str] = {}
 
 
 def session(name: str = "quillon", master: str | None = None, **conf: str) -> SparkSession:
@@ -28,6 +30,27 @@ def session(name: str = "quillon", master: str | None = None, **conf: str) -> Sp
     return builder.getOrCreate()
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """The shared folder that the cluster names in spark.checkpoint.dir; a local one where it is unset."""
+    import tempfile
+
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH:
+        _SCRATCH[app] = "file://" + tempfile.mkdtemp(prefix="quillon-")
+    return _SCRATCH[app]
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Write to the scratch folder and read back: cuts the lineage of an iteration and survives lost executors."""
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark)}/step-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the package to workers whose path lacks it (once an application)."""
     paths = [os.path.abspath(p or ".") for p in os.environ.get("PYTHONPATH", "").split(os.pathsep)]
