@@ -25,12 +25,14 @@ from pyspark.sql import functions as F
 
 from quillon.llm.shared import share
 
-BLOCK_ROWS = 8192
-QUERY_ROWS = 512
-PROJECTIONS = 64
-THRESHOLD = 0.75
-GROWTH = 1.25
-VERIFIED = 0.15
+BLOCK_ROWS = 16_384
+QUERY_ROWS = 256
+PROJECTIONS = 40
+THRESHOLD = 0.9
+GROWTH = 1.3
+VERIFIED = 0.3
+#: But at least so many for each neighbour asked for.
+LEAST_VERIFIED = 25
 NEAREST = 20
 _SEED = 20240229
 
@@ -46,19 +48,22 @@ class Index:
         fill = np.sqrt(np.maximum(0.0, 1.0 - (scaled**2).sum(axis=1)))
         self.lines = np.random.default_rng(_SEED).standard_normal((vectors.shape[1] + 1, projections))
         points = np.hstack([scaled, fill[:, None]]) @ self.lines
-        rows = np.argsort(points, axis=0, kind="stable").astype(np.int32)
+        rows = np.argsort(points, axis=0, kind="stable")
         # All lines stand in one array, each shifted by a step wider than any line.
         self.shift = 4.0 * (np.abs(points).max() + 1.0) * np.arange(projections)
         self.sorted = (np.take_along_axis(points, rows, axis=0) + self.shift).T.ravel()
         self.rows = rows.T.ravel()
         self.ends = len(ids) * np.arange(1, projections + 1)
+        self.spread = points.std()
+        self.rough, self.longest = self.vectors.astype(np.float32), norms.max()
 
     def search(self, query: np.ndarray, own: int, k: int, threshold: float, growth: float, verified: float):
         """Ids and inner products of the k nearest found, nearest first; ties to the smaller id."""
         n, m = len(self.ids), len(self.shift)
         centre = (query / np.sqrt((query**2).sum())) @ self.lines[:-1] + self.shift
-        need, enough = int(np.ceil(threshold * m)), min(n, max(k + 1, int(np.ceil(verified * n))))
-        half, hits = 0.25, np.zeros(n, dtype=np.int64)
+        need, enough = int(np.ceil(threshold * m)), min(n, max(LEAST_VERIFIED * k, int(np.ceil(verified * n))))
+        # Narrower windows than these hold too few entries in all, however they fall.
+        half, hits = 0.5 * self.spread * need * enough / (m * n), np.zeros(n, dtype=np.int64)
         old_lo = old_hi = None
         while True:
             lo = np.maximum(np.searchsorted(self.sorted, centre - half, side="left"), self.ends - n)
@@ -75,6 +80,10 @@ class Index:
                     break
             half *= growth
         found = found[self.ids[found] != own]
+        if len(found) > k:  # single precision rules out all that are below the last place by more than its error
+            length = float(np.sqrt((query**2).sum()))
+            rough = (self.rough @ query.astype(np.float32))[found]
+            found = found[rough >= np.partition(rough, -k)[-k] - 1e-4 * length * self.longest]
         scores = (self.vectors[found] * query).sum(axis=1)
         best = np.lexsort((self.ids[found], -scores))[:k]
         return self.ids[found][best], scores[best]
