@@ -37,7 +37,7 @@ def describe_by(df: DataFrame, key: str, value: str) -> DataFrame:
 def column_profile(df: DataFrame) -> DataFrame:
     """(column, dtype, non_null) of every column, in one pass; NaN counts as missing."""
     kinds = dict(df.dtypes)
-    present = [F.count(F.when(~F.isnan(c), 1) if kinds[c] in ("double", "float") else F.col(f"`{c}`")).alias(c) for c in df.columns]
+    present = [F.count(F.when(F.col(f"`{c}`").isNotNull() & ~F.isnan(c), 1) if kinds[c] in ("double", "float") else F.col(f"`{c}`")).alias(c) for c in df.columns]
     one = df.agg(*present)
     rows = [F.struct(F.lit(c).alias("column"), F.lit(kinds[c]).alias("dtype"), F.col(f"`{c}`").alias("non_null")) for c in df.columns]
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")

@@ -293,13 +293,12 @@ def imports(triples: DataFrame, k: int = 200) -> DataFrame:
 
 def identity(triples: DataFrame, hashes: DataFrame | None = None) -> DataFrame:
     """(onto_id, ontology_iri, version_iri): of the smallest ontology node; without one the file hash (onto_id, sha256)."""
-    nodes = of = G.of_type(triples, V.ONTOLOGY)
+    nodes = G.of_type(triples, V.ONTOLOGY)
     versions = G.pairs(triples, V.VERSION).groupBy("onto_id", "s").agg(F.min("o").alias("version"))
-    first = of.groupBy("onto_id").agg(F.min("s").alias("s")).join(versions, ["onto_id", "s"], "left")
+    first = nodes.groupBy("onto_id").agg(F.min("s").alias("s")).join(versions, ["onto_id", "s"], "left")
     base = _ontologies(triples) if hashes is None else _ontologies(triples).join(hashes, "onto_id", "left")
     short = F.lit(None).cast("string") if hashes is None else F.substring("sha256", 1, 32)
     joined = base.join(first, "onto_id", "left")
-    assert nodes is of
     iri = F.coalesce("s", F.concat(F.lit("file:hash:"), short), F.lit("anonymous"))
     version = F.coalesce("version", F.concat(F.lit("filehash:"), short), F.lit("filehash:unknown"))
     return joined.select("onto_id", iri.alias("ontology_iri"), version.alias("version_iri"))
