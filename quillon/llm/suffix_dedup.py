@@ -214,16 +214,18 @@ def repeated_stretches(docs: DataFrame, length: int = LENGTH, anchor: int = ANCH
     """(id, print, lo, n): n windows from byte lo of a text that also start elsewhere, for docs (id, text)."""
     kind = docs.schema["id"].dataType.simpleString()
     runs = share(runs_of(docs, length, anchor))
-    twice = runs.df.groupBy("a").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a")
+    # Written first, so that a join can split the runs of a frequent anchor.
+    twice = share(runs.df.groupBy("a").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a")).df
     kept = share(runs.df.join(twice, "a", "left_semi"))
     runs.drop()
     groups = share(kept.df.groupBy("a", "w").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("id", "print", "lo", "n")).alias("first"))).df
-    classes = groups.groupBy("a").agg(F.count(F.lit(1)).alias("strings"), F.count_if(F.col("c") == 1).alias("lone")).where("lone > 0")
+    classes = share(groups.groupBy("a").agg(F.count(F.lit(1)).alias("strings"), F.count_if(F.col("c") == 1).alias("lone")).where("lone > 0")).df
     opened = groups.join(classes, "a").select(
         "a", "first.*", (F.col("c") == 1).alias("alone"), (F.col("strings") > MOST_IN_TASK).alias("large")
     )
     strings = share(_strings(docs, share(opened).df, length)).df
-    whole = kept.df.join(groups.where("c > 1").select("a", "w"), ["a", "w"], "left_semi").select("id", "print", "lo", "n")
+    several = share(groups.where("c > 1").select("a", "w")).df
+    whole = kept.df.join(several, ["a", "w"], "left_semi").select("id", "print", "lo", "n")
     out = whole.unionByName(_resolved(strings.where("NOT large"), length, kind))
     large = strings.where("large")
     return out if large.isEmpty() else out.unionByName(_counted(large, length, kind))
