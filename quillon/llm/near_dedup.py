@@ -299,6 +299,7 @@ def near_dedup(
 
     keys = share(_keys(classes, distance))
     buckets = keys.df.groupBy("key").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
+    buckets = share(buckets).df  # written first, so that the join can split the rows of a large bucket
     stars = share(keys.df.join(buckets, "key").where("rep != hub").select("hub", "rep").distinct()).df
     keys.drop()
     stars = share(_rooted(stars, classes, distance)).df
