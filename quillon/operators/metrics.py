@@ -53,12 +53,10 @@ def _whole(triples: DataFrame, sums: DataFrame, zeros: dict, **scores: Column) -
 
 def signal_usage(triples: DataFrame, population: DataFrame) -> DataFrame:
     """(onto_id, p, builtin, n): entities that use each signal; built-in signals also where none does."""
-    spark = triples.sparkSession
     own = triples.join(population.select("onto_id", F.col("iri").alias("s")), ["onto_id", "s"], "left_semi").select("onto_id", "s", "p").distinct()
     counts = own.groupBy("onto_id", "p").agg(F.count(F.lit(1)).alias("n"))
-    builtin = spark.createDataFrame([(p,) for p in V.DESCRIBE_SIGNALS], "p string")
     declared = G.annotation_properties(triples).where(~F.col("p").isin(*V.DESCRIBE_SIGNALS))
-    all_builtin = _ontologies(triples).join(F.broadcast(builtin.withColumn("k", F.lit(1))), F.lit(1) == F.col("k")).drop("k")
+    all_builtin = _ontologies(triples).select("onto_id", F.explode(F.array(*[F.lit(p) for p in V.DESCRIBE_SIGNALS])).alias("p"))
     first = all_builtin.join(counts, ["onto_id", "p"], "left").select("onto_id", "p", F.lit(True).alias("builtin"), F.coalesce("n", F.lit(0)).alias("n"))
     second = declared.join(counts, ["onto_id", "p"]).select("onto_id", "p", F.lit(False).alias("builtin"), "n")
     return first.unionByName(G.top_counts(second, "p", 50))
@@ -144,9 +142,7 @@ def detected_definition_properties(triples: DataFrame) -> DataFrame:
 def bp_definition_properties(triples: DataFrame, declared: DataFrame) -> DataFrame:
     """(onto_id, p, place, literal_only, source): the built-in list, then registry-declared IRIs (``declared``: onto_id, iri, at),
     then detected ones. IRIs that only point to a definition are listed with place null and the reason."""
-    spark = triples.sparkSession
-    base = spark.createDataFrame([(p, k) for k, p in enumerate(V.DEFINITION_PROPERTIES)], "p string, place int").withColumn("k", F.lit(1))
-    builtin = _ontologies(triples).join(F.broadcast(base), F.lit(1) == F.col("k")).select(
+    builtin = _ontologies(triples).select("onto_id", F.posexplode(F.array(*[F.lit(p) for p in V.DEFINITION_PROPERTIES])).alias("place", "p")).select(
         "onto_id", "p", "place", F.lit(False).alias("literal_only"), F.lit(None).cast("string").alias("source")
     )
     extra = declared.groupBy("onto_id", F.col("iri").alias("p")).agg(F.min("at").alias("at")).where(~F.col("p").isin(*V.DEFINITION_PROPERTIES))
