@@ -5,7 +5,7 @@ different texts become a text slot, elements that only one of them has become op
 neighbours of one kind, or short groups of kinds that follow each other again and again, become
 repeated groups. The result, an expression without unions, is the wrapper of both; wrappers align
 with wrappers in the same way. So pages fold into wrappers in the tasks that read them, equal wrappers become one,
-and the rest are folded in ``FOLDS`` shares a host and then together: no task ever holds a host's pages.
+and the rest are folded about ``FOLDS`` at a time, round after round, until a host has one: no task ever holds a host's pages.
 
 The wrapper tells template from content: texts of an element that are the same on all of at least
 ``LEAST_PAGES`` pages are template, if other texts around them vary; where no element is marked as the main text, the deepest
@@ -53,10 +53,10 @@ _SCOPES = frozenset("article aside body div main section table td th tr ul ol dl
 _LEFT_OUT = frozenset("nav footer aside form button menu dialog head fieldset object video audio canvas map".split())
 _MAIN_WORDS = frozenset("article content entry main post story".split())
 _LEFT_OUT_WORDS = frozenset(
-    "ad ads advert advertisement advertising alert banner breadcrumb breadcrumbs byline comment comments consent cookie cookies dialog discussion disqus "
+    "ad ads advert advertisement advertising alert banner breadcrumb breadcrumbs comment comments consent cookie cookies dialog discussion disqus "
     "disclaimer footer gdpr hidden login masthead menu modal nav navbar navigation navigationbar newsletter notice notification outbrain pager pagination "
     "popup promo promoted promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe "
-    "subscription taboola teaser toc toolbar tooltip topbar warning widget widgets complementary contentinfo".split()
+    "subscription taboola toc toolbar tooltip topbar warning widget widgets complementary contentinfo".split()
 )
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
@@ -314,13 +314,15 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     schema = "host string, wrapper string, pages long"
     read = pages.select(host_of(after_scheme(F.coalesce(F.col(url_col), F.lit("")))).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     partial = read.where("html != ''").mapInArrow(infer, schema)
-    partial = share(partial.groupBy("host", "wrapper").agg(F.sum("pages").alias("pages"))).df
-    several = partial.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
-    counted = partial.join(several, "host")
-    crowded = counted.where(f"n > {FOLDS}").groupBy("host", F.pmod(F.xxhash64("wrapper"), F.lit(FOLDS)).alias("fold"))
-    crowded = crowded.applyInArrow(fold, schema)
-    rest = counted.where(f"n > 1 AND n <= {FOLDS}").select("host", "wrapper", "pages").unionByName(crowded)
-    return counted.where("n = 1").select("host", "wrapper", "pages").unionByName(rest.groupBy("host").applyInArrow(fold, schema))
+    partial = share(partial.groupBy("host", "wrapper").agg(F.sum("pages").alias("pages")))
+    while True:
+        several = partial.df.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        if several.isEmpty():
+            return partial.df
+        shares = F.pmod(F.xxhash64("wrapper"), F.ceil(F.col("n") / FOLDS).cast("long"))
+        folded = partial.df.join(several, "host").groupBy("host", shares.alias("fold")).applyInArrow(fold, schema)
+        folded = folded.groupBy("host", "wrapper").agg(F.sum("pages").alias("pages"))
+        partial = share(partial.df.join(several, "host", "left_anti").unionByName(folded))
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
