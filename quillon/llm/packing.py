@@ -3,8 +3,8 @@
 Texts longer than ``MOST_TOKENS`` are cut into pieces of that many tokens and a rest; the
 histogram of piece lengths then has at most ``MOST_TOKENS`` entries, whatever the size
 of the corpus. Dynamic programming over it finds the bounds of at most ``BUCKETS``
-buckets with the least padding in all. Inside a bucket the pieces, in a fixed shuffled order, fill batches
-of ``BATCH_TOKENS`` padded tokens.
+buckets with the least padding in all. Inside a bucket the pieces, shuffled by a hash of identifier, piece and row, so
+that copies of a text part, fill batches of ``BATCH_TOKENS`` padded tokens.
 
 Nulls and repeats: a null or empty text has no piece and is in no bucket (one row, with
 null bucket and batch); repeated rows are pieces of their own. An empty table gives an empty
@@ -89,7 +89,7 @@ def packed(
     pieces = share(
         pieces_of(docs, id_col, text_col, most)
         .withColumn("seq", F.monotonically_increasing_id())
-        .withColumn("digest", F.unhex(F.md5(F.concat_ws(":", F.col("id").cast("string"), F.col("piece").cast("string")))))
+        .withColumn("digest", F.unhex(F.md5(F.concat_ws(":", F.col("id").cast("string"), F.col("piece").cast("string"), F.col("seq").cast("string")))))
     ).df
     histogram = pieces.where("n_tokens > 0").groupBy("n_tokens").count().collect()  # most entries at most
     histogram.sort(key=lambda r: r["n_tokens"])
