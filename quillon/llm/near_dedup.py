@@ -289,8 +289,10 @@ def near_dedup(
     Documents are linked if 100 * intersection >= percent * union of their shingle
     sets; component_id is the smallest identifier reachable.
     """
-    distance = allowed_distance(percent)
     kind = docs.schema[id_col].dataType.simpleString()
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"identifiers must be integers, not {kind}")
+    distance = allowed_distance(percent)
     rows = share(signed(docs, id_col, text_col, shingle)).df
     classes = share(
         rows.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.col("id").cast("long")).alias("rep"), F.first("sig").alias("sig"))

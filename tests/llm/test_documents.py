@@ -113,6 +113,10 @@ class TestNearDedup:
         got = {r.doc_id: r.component_id for r in near_dedup.near_dedup(df, shingle=3, percent=85).collect()}
         assert got == {k: want[k][0] for k in want}
 
+    def test_identifiers_are_integers(self, docs):
+        with pytest.raises(TypeError):
+            near_dedup.near_dedup(docs, id_col="id")
+
     def test_pigeonhole_covers_every_signature_pair_in_reach(self):
         distance = near_dedup.allowed_distance(85)
         chunks = near_dedup.chunks_for(distance)
