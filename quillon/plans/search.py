@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillon.functions.text import js_round, normalised_query
+from quillon.session import spread
 
 METRICS = ("average_bp", "describe", "define_bp", "connection", "flat")
 CACHE_HOURS = 24
@@ -13,6 +14,8 @@ MOST_LETTERS = 200
 FULL_TEXT_HITS = 40
 FEW_HITS = 5
 K1, B = 1.2, 0.75
+#: Query terms are broadcast up to this many, and joined by a shuffle beyond.
+BROADCAST_TERMS = 100_000
 # Fixed notes.
 STALE_NOTE = "BioPortal did not answer in time, so these matches are from an earlier search of the same keyword."
 FALLBACK_NOTE = "BioPortal did not answer in time, so these are approximate matches on ontology names and descriptions."
@@ -24,7 +27,8 @@ _PLAIN = "aaaaaaaaacccccdeeeeeeeeegggghiiiiiiiijklllnnnnoooooooorrrssssttuuuuuuu
 
 def folded(text: Column) -> Column:
     """Lower case without the diacritics of Latin letters."""
-    return F.translate(F.lower(F.coalesce(text, F.lit(""))), _ACCENTED, _PLAIN)
+    low = F.lower(F.coalesce(text, F.lit("")))
+    return F.when(F.octet_length(low) == F.length(low), low).otherwise(F.translate(low, _ACCENTED, _PLAIN))
 
 
 def valid_keywords(keywords: DataFrame, column: str = "keyword") -> DataFrame:
@@ -131,16 +135,19 @@ def query_terms(keywords: DataFrame) -> DataFrame:
 def postings(documents: DataFrame, columns: list[str], key: str = "acronym") -> tuple[DataFrame, DataFrame]:
     """(key, c, position, token) of every token of the indexed columns, and (key, length)."""
     parts = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.coalesce(F.col(c), F.lit("")).alias("text")) for i, c in enumerate(columns)])).alias("part")
-    split = documents.select(key, parts).select(key, "part.c", F.regexp_extract_all(folded(F.col("part.text")), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)).alias("tokens"))
-    index = split.select(key, "c", F.posexplode("tokens").alias("position", "token"))
-    return index, split.groupBy(key).agg(F.sum(F.size("tokens")).alias("length"))
+    texts = spread(documents.select(key, *columns)).select(key, parts)
+    words = lambda x: F.regexp_extract_all(x, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    index = texts.select(key, "part.c", F.posexplode(words(folded(F.col("part.text")))).alias("position", "token"))
+    # Folding maps letters to letters, so lengths do without it.
+    return index, texts.groupBy(key).agg(F.sum(F.size(words(F.col("part.text")))).alias("length"))
 
 
 def term_frequencies(terms: DataFrame, index: DataFrame, key: str = "acronym") -> DataFrame:
     """(keyword, t, key, tf): how often each term stands in each document; a term of several tokens is a phrase."""
     words = terms.select("keyword", "t", F.posexplode(F.regexp_extract_all(folded(F.col("term")), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))).alias("at", "token"))
     sizes = words.groupBy("keyword", "t").agg(F.count(F.lit(1)).alias("size"))
-    found = index.join(words, "token").select("keyword", "t", key, "c", (F.col("position") - F.col("at")).alias("start"), "at")
+    few = words.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+    found = index.join(F.broadcast(words) if few else words, "token").select("keyword", "t", key, "c", (F.col("position") - F.col("at")).alias("start"), "at")
     starts = found.groupBy("keyword", "t", key, "c", "start").agg(F.countDistinct("at").alias("got")).join(sizes, ["keyword", "t"]).where("got = size")
     return starts.groupBy("keyword", "t", key).agg(F.count(F.lit(1)).alias("tf"))
 

@@ -51,6 +51,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of few partitions (one small file, say) dealt out to all cores; a table of many stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the package to workers whose path lacks it (once an application)."""
     paths = [os.path.abspath(p or ".") for p in os.environ.get("PYTHONPATH", "").split(os.pathsep)]
