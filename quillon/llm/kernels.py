@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _U = np.uint64
 _SEPARATOR = np.zeros(256, dtype=bool)

@@ -36,7 +36,7 @@ from quillon.llm.shared import share
 LENGTH = 200
 ANCHOR = 56
 MOST_IN_TASK = 4096
-_CHUNK = 1 << 20
+_CHUNK = 1 << 19
 _PLACE = np.uint64((1 << 22) - 1)
 _U = np.uint64
 
