@@ -8,7 +8,9 @@ with wrappers in the same way. So pages fold into wrappers in the tasks that rea
 and the rest are folded about ``FOLDS`` at a time, round after round, until a host has one: no task ever holds a host's pages.
 
 The wrapper tells template from content: texts of an element that are the same on all of at least
-``LEAST_PAGES`` pages are template, if other texts around them vary; where no element is marked as the main text, the deepest
+``LEAST_PAGES`` pages are template, if other texts around them vary from page to page (texts that differ
+inside a page alone do not; an article, a main element or what holds one is never template). Long texts are held by
+their length and digest. Where no element is marked as the main text, the deepest
 element that holds ``MAIN_SHARE`` of the text in slots is. Elements whose kind or class says menu, header, footer, sidebar,
 notice, advert, form or comments are left out on any page.
 
@@ -18,6 +20,7 @@ repeated rows give equal rows. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
@@ -32,7 +35,7 @@ from quillon.llm.url_filter import after_scheme, host_of
 FOLDS = 16
 LEAST_PAGES = 4
 MAIN_SHARE = 0.8
-LONGEST_TEMPLATE_TEXT = 160
+LONGEST_SPELLED_TEXT = 160
 GROUP_ELEMENTS = 4
 
 _TOKEN = re.compile(
@@ -140,8 +143,12 @@ class Page:
             self.main[k] = self.main[parent] or (not self.left_out[k] and "=" in self.kinds[k] and bool(words & _MAIN_WORDS))
 
     def tree(self) -> list:
-        """[kind, flags, text, children, characters] with repeats folded; flags 1 optional, 2 repeated; text None varies."""
-        nodes = [[k, 0, "", [], 0] for k in self.kinds]
+        """[kind, flags, text, children, characters, own] with repeats folded; flags 1 optional, 2 repeated.
+
+        A text is None if it varies, and [length, digest] if it is long. ``own`` stands for all texts
+        of the element in a page, repeats in their order, and is None if it varies between pages.
+        """
+        nodes = [[k, 0, "", [], 0, ""] for k in self.kinds]
         texts: dict[int, list[str]] = {}
         for at, part in self.parts:
             if part is not None and not part.isspace():
@@ -149,7 +156,7 @@ class Page:
         for at, found in texts.items():
             joined = " ".join(found)
             nodes[at][4] = len(joined)
-            nodes[at][2] = joined if len(joined) <= LONGEST_TEMPLATE_TEXT else None
+            nodes[at][2] = nodes[at][5] = joined if len(joined) <= LONGEST_SPELLED_TEXT else [len(joined), _digest(joined)]
         for k in range(len(nodes) - 1, 0, -1):
             if not self.left_out[k]:
                 nodes[self.parents[k]][3].insert(0, nodes[k])
@@ -164,6 +171,10 @@ class Page:
         return out
 
 
+def _digest(text: str) -> str:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
 def _folded(children: list) -> list:
     """Repeated neighbours as one element, repeated groups of kinds as their first round."""
     out: list = []
@@ -183,14 +194,22 @@ def _folded(children: list) -> list:
 
 
 def aligned(a: list, b: list, repeated: bool = False) -> list:
-    """The least wrapper that fits what a and b fit; both are of one kind."""
+    """The least wrapper that fits what a and b fit; both are of one kind, and of one page if ``repeated``."""
+    return _aligned(a, b, 2 if repeated else 0, repeated)
+
+
+def _aligned(a: list, b: list, flags: int, one_page: bool) -> list:
     text = a[2] if a[2] == b[2] else None
-    return [a[0], a[1] | b[1] | (2 if repeated else 0), text, _aligned_children(a[3], b[3]), a[4] + b[4]]
+    if one_page:
+        own = [a[4] + b[4], _digest(json.dumps([a[5], b[5]]))] if a[5] and b[5] else a[5] or b[5]
+    else:
+        own = a[5] if a[5] == b[5] else None
+    return [a[0], a[1] | b[1] | flags, text, _aligned_children(a[3], b[3], one_page), a[4] + b[4], own]
 
 
-def _aligned_children(a: list, b: list) -> list:
+def _aligned_children(a: list, b: list, one_page: bool) -> list:
     if [x[0] for x in a] == [x[0] for x in b]:
-        return [aligned(x, y) for x, y in zip(a, b, strict=True)]
+        return [_aligned(x, y, 0, one_page) for x, y in zip(a, b, strict=True)]
     n, m = len(a), len(b)
     common = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
@@ -199,7 +218,7 @@ def _aligned_children(a: list, b: list) -> list:
     out, i, j = [], 0, 0
     while i < n or j < m:
         if i < n and j < m and a[i][0] == b[j][0]:
-            out.append(aligned(a[i], b[j]))
+            out.append(_aligned(a[i], b[j], 0, one_page))
             i, j = i + 1, j + 1
         elif j == m or (i < n and common[i + 1][j] >= common[i][j + 1]):
             out.append([a[i][0], a[i][1] | 1, *a[i][2:]])
@@ -211,10 +230,10 @@ def _aligned_children(a: list, b: list) -> list:
 
 
 def expression(wrapper: list) -> str:
-    """The wrapper as a regular expression without unions: #text is a slot, ? optional, + repeated."""
-    kind, flags, text, children, _ = wrapper
+    """The wrapper as a regular expression without unions: #text is a slot, #same a long text, ? optional, + repeated."""
+    kind, flags, text, children, *_ = wrapper
     inner = "".join(expression(c) for c in children)
-    slot = "#text" if text is None else entities.escape(text)
+    slot = "#text" if text is None else entities.escape(text) if isinstance(text, str) else f"#same{text[0]}"
     body = f"<{kind}>{slot}{inner}</{kind.split('.')[0]}>" if kind else inner
     return f"({body})" + ("*" if flags == 3 else "+" if flags == 2 else "?") if flags else body
 
@@ -224,21 +243,25 @@ def rules_of(wrapper: list, pages: int) -> tuple[list[list[str]], list[str]]:
     template: list[list[str]] = []
 
     def varies(node: list) -> bool:
-        return node[2] is None or any(varies(c) for c in node[3])
+        return node[5] is None or any(varies(c) for c in node[3])
+
+    def uniform(node: list) -> bool:
+        return node[2] is not None and all(uniform(c) for c in node[3])
 
-    def walk(node: list, path: list[str]) -> None:
+    def walk(node: list, path: list[str], repeated: bool) -> None:
         kinds = [c[0] for c in node[3]]
         for child in node[3]:
             own = [*path, child[0]]
             siblings = kinds.count(child[0]) == 1
             if not varies(child):
-                if child[1] == 0 and siblings and (child[2] or child[3]) and varies(node):
+                # In a repeated element, a path stands for all rounds, so all must have one text.
+                if child[1] == 0 and siblings and (child[5] or child[3]) and varies(node) and (not repeated or uniform(child)):
                     template.append(own)
             else:
-                walk(child, own)
+                walk(child, own, repeated or bool(child[1] & 2))
 
     if pages >= LEAST_PAGES:
-        walk(wrapper, [])
+        walk(wrapper, [], False)
 
     def slots(node: list) -> int:
         return (node[4] if node[2] is None else 0) + sum(slots(c) for c in node[3])
@@ -260,9 +283,12 @@ def main_text(text: str, template: frozenset[tuple[str, ...]] = frozenset(), reg
     keep = [False] * len(page.kinds)
     marked = any(page.main)
     gone = [False] * len(page.kinds)
+    holds = [m and (not page.main[page.parents[k]] or page.kinds[k].split(".")[0] in ("article", "main")) for k, m in enumerate(page.main)]
+    for k in range(len(paths) - 1, 0, -1):
+        holds[page.parents[k]] |= holds[k]
     here = not marked and region in set(paths)
     for k, path in enumerate(paths):
-        gone[k] = k > 0 and (gone[page.parents[k]] or path in template)
+        gone[k] = k > 0 and (gone[page.parents[k]] or (path in template and not holds[k]))
         inside = page.main[k] if marked else (path[: len(region)] == region if here else True)
         keep[k] = inside and not page.left_out[k] and not gone[k]
     out = []

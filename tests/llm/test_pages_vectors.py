@@ -132,6 +132,30 @@ class TestHtml:
         assert by_id[8].n_chars == len(by_id[8].text) > 0
         assert len(got) == len(rows)
 
+    def test_long_template_texts_come_from_the_host(self, spark):
+        notice = "All rights to these pages are held by the publisher. " * 5
+        page = "<body><div><p>" + notice + "</p></div><article><h1>Head {k}</h1><p>" + notice + "</p><div>Story {k} " + "goes on " * 30 + "{k}</div></article></body>"
+        plain = "<body><div><p>" + notice + "</p></div><section><h1>Head {k}</h1><div>Story {k} " + "goes on " * 30 + "{k}</div></section></body>"
+        rows = [(k, "http://a.org/", page.format(k=k)) for k in range(5)] + [(10 + k, "http://b.org/", plain.format(k=k)) for k in range(5)]
+        got = {r.page_id: r.text for r in html_wrapper.extracted(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+        for k in range(5):
+            want = f"Head {k} Story {k} " + "goes on " * 30 + str(k)
+            assert got[k] == want and notice.strip() not in got[10 + k]
+
+    def test_copies_of_a_page_keep_their_texts(self, spark):
+        article = "<article><h1>Headline</h1><p>" + "One long paragraph. " * 12 + "</p><p>" + "Another long one. " * 12 + "</p><ul><li>a<li>b</ul></article>"
+        rows = [(k, "http://a.org/", f"<body>{article}</body>") for k in range(4)]
+        rows += [(10 + k, "http://b.org/", f"<body><section>{article}</section><div>{k} views</div></body>") for k in range(4)]
+        got = html_wrapper.extracted(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+        assert {r.text for r in got} == {html_wrapper.main_text(article)}
+
+    def test_cells_that_differ_in_a_page_are_no_template(self):
+        trees = [html_wrapper.Page(f"<table><tr><th>Name</th><td>x{k}</td></tr><tr><th>Age</th><td>{k}</td></tr></table>").tree() for k in range(4)]
+        wrapper = trees[0]
+        for tree in trees[1:]:
+            wrapper = html_wrapper.aligned(wrapper, tree)
+        assert html_wrapper.rules_of(wrapper, 4)[0] == []
+
     def test_many_partial_wrappers_fold_in_shares(self, spark, monkeypatch):
         monkeypatch.setattr(html_wrapper, "FOLDS", 2)
         rows = [(k, "http://h.org/", f"<div><p>a{k}</p>{'<ul><li>x</ul>' if k % 3 else ''}</div>") for k in range(12)]
