@@ -10,8 +10,8 @@ and the rest are folded about ``FOLDS`` at a time, round after round, until a ho
 The wrapper tells template from content: texts of an element that are the same on all of at least
 ``LEAST_PAGES`` pages are template, if other texts around them vary from page to page (texts that differ
 inside a page alone do not; an article, a main element or what holds one is never template). Long texts are held by
-their length and digest. Where no element is marked as the main text, the deepest
-element that holds ``MAIN_SHARE`` of the text in slots is. Elements whose kind or class says menu, header, footer, sidebar,
+their length and digest. Without an article, a main element or a class that says content, all that is
+neither template nor left out is the main text. Elements whose kind or class says menu, header, footer, sidebar,
 notice, advert, form or comments are left out on any page.
 
 Nulls and repeats: null or empty html gives an empty text; a null url belongs to the host of no name;
@@ -34,7 +34,6 @@ from quillon.llm.url_filter import after_scheme, host_of
 
 FOLDS = 16
 LEAST_PAGES = 4
-MAIN_SHARE = 0.8
 LONGEST_SPELLED_TEXT = 160
 GROUP_ELEMENTS = 4
 
@@ -143,20 +142,19 @@ class Page:
             self.main[k] = self.main[parent] or (not self.left_out[k] and "=" in self.kinds[k] and bool(words & _MAIN_WORDS))
 
     def tree(self) -> list:
-        """[kind, flags, text, children, characters, own] with repeats folded; flags 1 optional, 2 repeated.
+        """[kind, flags, text, children, own] with repeats folded; flags 1 optional, 2 repeated.
 
         A text is None if it varies, and [length, digest] if it is long. ``own`` stands for all texts
         of the element in a page, repeats in their order, and is None if it varies between pages.
         """
-        nodes = [[k, 0, "", [], 0, ""] for k in self.kinds]
+        nodes = [[k, 0, "", [], ""] for k in self.kinds]
         texts: dict[int, list[str]] = {}
         for at, part in self.parts:
             if part is not None and not part.isspace():
                 texts.setdefault(at, []).append(part.strip())
         for at, found in texts.items():
             joined = " ".join(found)
-            nodes[at][4] = len(joined)
-            nodes[at][2] = nodes[at][5] = joined if len(joined) <= LONGEST_SPELLED_TEXT else [len(joined), _digest(joined)]
+            nodes[at][2] = nodes[at][4] = joined if len(joined) <= LONGEST_SPELLED_TEXT else [len(joined), _digest(joined)]
         for k in range(len(nodes) - 1, 0, -1):
             if not self.left_out[k]:
                 nodes[self.parents[k]][3].insert(0, nodes[k])
@@ -201,10 +199,10 @@ def aligned(a: list, b: list, repeated: bool = False) -> list:
 def _aligned(a: list, b: list, flags: int, one_page: bool) -> list:
     text = a[2] if a[2] == b[2] else None
     if one_page:
-        own = [a[4] + b[4], _digest(json.dumps([a[5], b[5]]))] if a[5] and b[5] else a[5] or b[5]
+        own = [0, _digest(json.dumps([a[4], b[4]]))] if a[4] and b[4] else a[4] or b[4]
     else:
-        own = a[5] if a[5] == b[5] else None
-    return [a[0], a[1] | b[1] | flags, text, _aligned_children(a[3], b[3], one_page), a[4] + b[4], own]
+        own = a[4] if a[4] == b[4] else None
+    return [a[0], a[1] | b[1] | flags, text, _aligned_children(a[3], b[3], one_page), own]
 
 
 def _aligned_children(a: list, b: list, one_page: bool) -> list:
@@ -231,19 +229,19 @@ def _aligned_children(a: list, b: list, one_page: bool) -> list:
 
 def expression(wrapper: list) -> str:
     """The wrapper as a regular expression without unions: #text is a slot, #same a long text, ? optional, + repeated."""
-    kind, flags, text, children, *_ = wrapper
+    kind, flags, text, children, _ = wrapper
     inner = "".join(expression(c) for c in children)
     slot = "#text" if text is None else entities.escape(text) if isinstance(text, str) else f"#same{text[0]}"
     body = f"<{kind}>{slot}{inner}</{kind.split('.')[0]}>" if kind else inner
     return f"({body})" + ("*" if flags == 3 else "+" if flags == 2 else "?") if flags else body
 
 
-def rules_of(wrapper: list, pages: int) -> tuple[list[list[str]], list[str]]:
-    """Paths of template elements, and the path of the main element, from a host's wrapper."""
+def rules_of(wrapper: list, pages: int) -> list[list[str]]:
+    """Paths of template elements, from a host's wrapper."""
     template: list[list[str]] = []
 
     def varies(node: list) -> bool:
-        return node[5] is None or any(varies(c) for c in node[3])
+        return node[4] is None or any(varies(c) for c in node[3])
 
     def uniform(node: list) -> bool:
         return node[2] is not None and all(uniform(c) for c in node[3])
@@ -255,7 +253,7 @@ def rules_of(wrapper: list, pages: int) -> tuple[list[list[str]], list[str]]:
             siblings = kinds.count(child[0]) == 1
             if not varies(child):
                 # In a repeated element, a path stands for all rounds, so all must have one text.
-                if child[1] == 0 and siblings and (child[5] or child[3]) and varies(node) and (not repeated or uniform(child)):
+                if child[1] == 0 and siblings and (child[4] or child[3]) and varies(node) and (not repeated or uniform(child)):
                     template.append(own)
             else:
                 walk(child, own, repeated or bool(child[1] & 2))
@@ -263,20 +261,10 @@ def rules_of(wrapper: list, pages: int) -> tuple[list[list[str]], list[str]]:
     if pages >= LEAST_PAGES:
         walk(wrapper, [], False)
 
-    def slots(node: list) -> int:
-        return (node[4] if node[2] is None else 0) + sum(slots(c) for c in node[3])
+    return template
 
-    main, node, total = [], wrapper, slots(wrapper)
-    while total:
-        best = max(node[3], key=slots, default=None)
-        if best is None or best[0].split(".")[0] in ("p", "h1", "h2", "li") or best[1] & 2 or slots(best) < MAIN_SHARE * total:
-            break
-        node = best
-        main.append(best[0])
-    return template, main
 
-
-def main_text(text: str, template: frozenset[tuple[str, ...]] = frozenset(), region: tuple[str, ...] = ()) -> str:
+def main_text(text: str, template: frozenset[tuple[str, ...]] = frozenset()) -> str:
     """The main text of one page, by the rules of its host's wrapper."""
     page = Page(text)
     paths = page.paths()
@@ -286,11 +274,9 @@ def main_text(text: str, template: frozenset[tuple[str, ...]] = frozenset(), reg
     holds = [m and (not page.main[page.parents[k]] or page.kinds[k].split(".")[0] in ("article", "main")) for k, m in enumerate(page.main)]
     for k in range(len(paths) - 1, 0, -1):
         holds[page.parents[k]] |= holds[k]
-    here = not marked and region in set(paths)
     for k, path in enumerate(paths):
         gone[k] = k > 0 and (gone[page.parents[k]] or (path in template and not holds[k]))
-        inside = page.main[k] if marked else (path[: len(region)] == region if here else True)
-        keep[k] = inside and not page.left_out[k] and not gone[k]
+        keep[k] = (page.main[k] or not marked) and not page.left_out[k] and not gone[k]
     out = []
     for at, part in page.parts:
         if part is None:
@@ -366,16 +352,15 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     )
 
     def extract(batches):
-        known: dict[str, tuple] = {}
+        known: dict[str, frozenset] = {}
         for batch in batches:
             texts = []
             for text, rule in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 if rule is not None and rule not in known:
                     if len(known) > 4096:
                         known.clear()
-                    template, region = json.loads(rule)
-                    known[rule] = (frozenset(tuple(p) for p in template), tuple(region))
-                texts.append(main_text(text, *known.get(rule, ())) if text else "")
+                    known[rule] = frozenset(tuple(p) for p in json.loads(rule))
+                texts.append(main_text(text, known.get(rule, frozenset())) if text else "")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["id", "url", "text", "n_chars"],
