@@ -4,7 +4,7 @@ Rules decide the urls that they fit. For the others, hosts with allowed urls are
 seeds and hosts with blocked urls distrusted seeds (each weighed by its number
 of such urls). Personalised PageRank carries trust along host edges and distrust
 against them; a host is blocked if distrust holds more than ``DISTRUST`` of its
-two scores. Edges: links to other hosts in a page's html, and both ways between a host
+two scores, before these are rounded to 12 decimals for show. Edges: links to other hosts in a page's html, and both ways between a host
 and its parent domain if that has pages too. All of it is DataFrame operations.
 
 Nulls and repeats: a null url, or one without ``://``, has empty host and path, fits
@@ -32,6 +32,8 @@ RULES = (
 DAMPING = 0.85
 ROUNDS = 8
 DISTRUST = 0.5
+#: Scores that differ by less than this share are equal: sums of doubles depend on the order of rows.
+TIE = 1e-6
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -129,15 +131,15 @@ def filter_urls(
     edges = links.groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
     score = propagated(edges, seeds)
     by_host = score.groupBy("host").agg(
-        F.round(F.sum(F.when(F.col("kind") == "trust", F.col("score")).otherwise(0.0)), 12).alias("trust"),
-        F.round(F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0.0)), 12).alias("distrust"),
+        F.sum(F.when(F.col("kind") == "trust", F.col("score")).otherwise(0.0)).alias("trust"),
+        F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0.0)).alias("distrust"),
     )
     joined = split.join(by_host.withColumnRenamed("host", "_host"), F.col("host") == F.col("_host"), "left")
     trust, bad = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
-    by_method = F.when(bad > distrust * (trust + bad), F.lit("block")).otherwise(F.lit("allow"))
+    by_method = F.when(bad > distrust * (1 + TIE) * (trust + bad), F.lit("block")).otherwise(F.lit("allow"))
     return joined.select(
         F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("by_rule", by_method).alias("verdict"),
-        trust.alias("trust"), bad.alias("distrust"),
+        F.round(trust, 12).alias("trust"), F.round(bad, 12).alias("distrust"),
     )
 
 

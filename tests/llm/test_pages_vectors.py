@@ -71,6 +71,15 @@ class TestUrlFilter:
         assert rows[10].verdict == "block" and rows[10].distrust > 0  # it links to y.com, which is blocked
         assert rows[5].verdict == "allow"
 
+    def test_verdicts_do_not_rest_on_rounded_scores(self, spark):
+        rows, far = [(0, "http://h0.com/de/1", None)], 4
+        for k in range(far):  # nearly all distrust of each host goes to its busy neighbour
+            rows += [(k + 1, f"http://h{k + 1}.net/", f'<a href="http://h{k}.{"net" if k else "com"}/x">')]
+            rows += [(100 + k, f"http://busy{k}.net/", f'<a href="http://h{k}.{"net" if k else "com"}/x">')] * 2000
+        got = {r.page_id: r for r in url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).where("page_id < 100").collect()}
+        assert got[far].distrust == 0.0  # as shown
+        assert [got[k].verdict for k in range(far + 1)] == ["block"] * (far + 1)
+
     def test_pagerank_against_matrix(self, spark):
         edges = [("a", "b", 1.0), ("a", "c", 3.0), ("b", "c", 1.0), ("c", "a", 2.0), ("d", "a", 1.0)]
         seeds = [("trust", "a", 3.0), ("trust", "d", 1.0), ("distrust", "c", 2.0)]
