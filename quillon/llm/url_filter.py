@@ -4,7 +4,9 @@ Rules decide the urls that they fit. For the others, hosts with allowed urls are
 seeds and hosts with blocked urls distrusted seeds (each weighed by its number
 of such urls). Personalised PageRank carries trust along host edges and distrust
 against them; a host is blocked if distrust holds more than ``DISTRUST`` of its
-two scores, before these are rounded to 12 decimals for show. Edges: links to other hosts in a page's html, and both ways between a host
+two scores, in sums that have
+settled: rounds go on until no score grows by more than ``TOLERANCE`` of itself. The columns
+``trust`` and ``distrust`` show the sums after ``ROUNDS`` rounds, to 12 decimals, as the SQL has them. Edges: links to other hosts in a page's html, and both ways between a host
 and its parent domain if that has pages too. All of it is DataFrame operations.
 
 Nulls and repeats: a null url, or one without ``://``, has empty host and path, fits
@@ -14,12 +16,13 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.shared import share
+from quillon.llm.shared import Shared, share
 
 #: (verdict, host, path)
 RULES = (
@@ -31,6 +34,7 @@ RULES = (
 )
 DAMPING = 0.85
 ROUNDS = 8
+TOLERANCE = 1e-7
 DISTRUST = 0.5
 #: Scores that differ by less than this share are equal: sums of doubles depend on the order of rows.
 TIE = 1e-6
@@ -92,26 +96,56 @@ def _family(hosts: DataFrame) -> DataFrame:
     return up.unionByName(up.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
 
 
-def propagated(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(kind, host, score): personalised PageRank of each kind from its seeds (kind, host, seed).
-
-    Kind ``trust`` follows the edges and ``distrust`` goes against them. The mass of
-    hosts without edges on the way is not handed on.
-    """
+def _rounds(edges: DataFrame, seeds: DataFrame, damping: float) -> Iterator[Shared]:
+    """(kind, host, score, before) after 0, 1, 2... rounds; it ends where there is nothing to hand on."""
     forth = edges.select(F.lit("trust").alias("kind"), "src", "dst", "weight")
     back = edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     both = forth.unionByName(back)
     out = both.groupBy("kind", "src").agg(F.sum("weight").alias("all"))
     steps = share(both.join(out, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", (F.col("weight") / F.col("all")).alias("part"))).df
     total = seeds.groupBy("kind").agg(F.sum("seed").alias("all"))
-    start = share(seeds.join(F.broadcast(total), "kind").select("kind", "host", ((1 - damping) * F.col("seed") / F.col("all")).alias("score"))).df
+    none = F.lit(0.0)
+    first = seeds.join(F.broadcast(total), "kind").select("kind", "host", ((1 - damping) * F.col("seed") / F.col("all")).alias("score"), none.alias("before"))
+    start = score = share(first)
+    yield start
     if steps.isEmpty():
-        return start
-    score = start
-    for _ in range(rounds):
-        moved = score.join(steps, ["kind", "host"]).select("kind", F.col("dst").alias("host"), (damping * F.col("score") * F.col("part")).alias("score"))
-        score = share(start.unionByName(moved).groupBy("kind", "host").agg(F.sum("score").alias("score"))).df
-    return score
+        return
+    while True:
+        moved = score.df.join(steps, ["kind", "host"]).select("kind", F.col("dst").alias("host"), (damping * F.col("score") * F.col("part")).alias("score"), none.alias("before"))
+        known = score.df.select("kind", "host", none.alias("score"), F.col("score").alias("before"))
+        parts = start.df.unionByName(moved).unionByName(known)
+        score = share(parts.groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("before").alias("before")))
+        yield score
+
+
+def propagated(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+    """(kind, host, score): personalised PageRank of each kind from its seeds (kind, host, seed), after some rounds.
+
+    Kind ``trust`` follows the edges and ``distrust`` goes against them. The mass of
+    hosts without edges on the way is not handed on.
+    """
+    return list(islice(_rounds(edges, seeds, damping), rounds + 1))[-1].df.drop("before")
+
+
+def settled(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """The scores of ``propagated`` after ``rounds`` rounds, and those that further rounds no longer change.
+
+    Scores only grow. Once none grows by more than a share ``TOLERANCE`` in a round, none does in a later
+    one, and a host that is reached for the first time grows by all of its score. So
+    there are as many rounds as the longest way from a seed, until scores are too small for a double.
+    """
+    shown = last = None
+    for k, score in enumerate(_rounds(edges, seeds, damping)):
+        if last is not None and last is not shown and k > 1:
+            last.drop()
+        last = score
+        if k <= rounds:
+            shown = score
+        if k >= rounds and k % 4 == 0:
+            growth = score.df.where("score > 0").agg(F.max((F.col("score") - F.col("before")) / F.col("score"))).first()[0]
+            if growth is None or growth <= TOLERANCE:
+                break
+    return shown.df.drop("before"), last.df.drop("before")
 
 
 def filter_urls(
@@ -129,17 +163,21 @@ def filter_urls(
     seeds = counts.selectExpr("host", "stack(2, 'trust', trust, 'distrust', distrust) AS (kind, seed)").where("seed > 0")
     links = host_edges(pages, url_col, html_col).unionByName(_family(counts.select("host")))
     edges = links.groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
-    score = propagated(edges, seeds)
+    shown, last = settled(edges, seeds)
+
+    def of(kind: str, which: str) -> Column:
+        return F.sum(F.when((F.col("kind") == kind) & (F.col("which") == which), F.col("score")).otherwise(0.0))
+
+    score = shown.withColumn("which", F.lit("shown")).unionByName(last.withColumn("which", F.lit("last")))
     by_host = score.groupBy("host").agg(
-        F.sum(F.when(F.col("kind") == "trust", F.col("score")).otherwise(0.0)).alias("trust"),
-        F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0.0)).alias("distrust"),
-    )
+        F.round(of("trust", "shown"), 12).alias("trust"), F.round(of("distrust", "shown"), 12).alias("distrust"),
+        (of("distrust", "last") > distrust * (1 + TIE) * (of("trust", "last") + of("distrust", "last"))).alias("bad"),
+    )
     joined = split.join(by_host.withColumnRenamed("host", "_host"), F.col("host") == F.col("_host"), "left")
-    trust, bad = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
-    by_method = F.when(bad > distrust * (1 + TIE) * (trust + bad), F.lit("block")).otherwise(F.lit("allow"))
+    by_method = F.when(F.col("bad"), F.lit("block")).otherwise(F.lit("allow"))
     return joined.select(
         F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("by_rule", by_method).alias("verdict"),
-        F.round(trust, 12).alias("trust"), F.round(bad, 12).alias("distrust"),
+        F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"),
     )
 
 

@@ -80,6 +80,19 @@ class TestUrlFilter:
         assert got[far].distrust == 0.0  # as shown
         assert [got[k].verdict for k in range(far + 1)] == ["block"] * (far + 1)
 
+    def test_chains_longer_than_the_shown_rounds(self, spark):
+        rows = [(0, "http://h0.com/de/1", None)] + [(k, f"http://h{k}.net/", f'<a href="http://h{k - 1}.{"net" if k > 1 else "com"}/x">') for k in range(1, 13)]
+        got = {r.page_id: r.verdict for r in url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+        assert got == dict.fromkeys(range(13), "block")
+
+    def test_settled_scores_solve_the_equations(self, spark):
+        edges = [("a", "b", 1.0), ("b", "a", 1.0), ("b", "c", 3.0)]
+        _, last = url_filter.settled(spark.createDataFrame(edges, "src string, dst string, weight double"), spark.createDataFrame([("trust", "a", 2.0)], "kind string, host string, seed double"))
+        a = (1 - url_filter.DAMPING) / (1 - url_filter.DAMPING**2 / 4)
+        want = {"a": a, "b": url_filter.DAMPING * a, "c": url_filter.DAMPING**2 * 0.75 * a}
+        got = {r.host: r.score for r in last.collect()}
+        assert got.keys() == want.keys() and all(math.isclose(got[h], want[h], rel_tol=1e-6) for h in want)
+
     def test_pagerank_against_matrix(self, spark):
         edges = [("a", "b", 1.0), ("a", "c", 3.0), ("b", "c", 1.0), ("c", "a", 2.0), ("d", "a", 1.0)]
         seeds = [("trust", "a", 3.0), ("trust", "d", 1.0), ("distrust", "c", 2.0)]
