@@ -5,9 +5,9 @@ weighed by their inverse document frequency over all documents (one count for ea
 template word, so its size follows the templates, not the corpus). In a text, the
 rarest words of a template are looked up; each find proposes a place where the template
 would start, and words that propose the same place, give or take ``SLACK`` words, form a posting
-intersection. The place with the largest share of the template's weight is
-a match if that share reaches ``LEAST`` and every mandatory phrase of the template stands
-inside the matched stretch. Base phrases count wherever their words stand consecutively.
+intersection. Places whose share of the template's weight reaches ``LEAST`` are tried, the largest
+share first; the first one with every mandatory phrase of the template inside
+the matched stretch is the match. Base phrases count wherever their words stand consecutively.
 
 Nulls and repeats: a null text counts as empty and has no words and no labels; repeated rows get
 equal results. An empty table gives an empty result.
@@ -162,7 +162,7 @@ def _matches(text: _Text, lo: int, hi: int, known: np.ndarray, index: _Index):
             continue
         found.sort()
         starts = [f[0] for f in found]
-        best, a, b, weights, total = (0.0, 0), 0, 0, {}, 0.0
+        places, a, b, weights, total = [], 0, 0, {}, 0.0
         for place in sorted({f[0] for f in found if f[3]}):  # rare words propose places
             while b < len(found) and starts[b] <= place + SLACK:
                 _, at, weight, _ = found[b]
@@ -174,13 +174,13 @@ def _matches(text: _Text, lo: int, hi: int, known: np.ndarray, index: _Index):
                 weights[at] -= 1
                 total -= weight * (weights[at] == 0)
                 a += 1
-            best = max(best, (round(total, 9), -place))
-        share, place = best[0] / index.totals[t], -best[1]
-        if best[0] < least:
-            continue
-        a, b = max(lo, place - SLACK), min(hi, place + index.lengths[t] + SLACK)
-        if all(len(text.phrase(p, a, b)) for p in index.mandatory[t]):
-            yield t, min(1.0, share), max(lo, place) - lo
+            if round(total, 9) >= least:
+                places.append((-round(total, 9), place))
+        for minus, place in sorted(places):
+            a, b = max(lo, place - SLACK), min(hi, place + index.lengths[t] + SLACK)
+            if all(len(text.phrase(p, a, b)) for p in index.mandatory[t]):
+                yield t, min(1.0, -minus / index.totals[t]), max(lo, place) - lo
+                break
 
 
 def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

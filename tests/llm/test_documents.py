@@ -292,6 +292,18 @@ class TestLicenseScan:
         assert "bsd" in out[100]
         assert "bsd" not in out[101]
 
+    def test_a_broken_better_place_does_not_hide_a_whole_one(self, spark):
+        filler = " lorem ipsum dolor sit amet" * 30
+        rows, texts = [], license_scan.TEMPLATES
+        broken = texts["mit"][0].replace("free of charge", "free of cost")
+        words = texts["mit"][0].split()
+        whole = " ".join(words[:-6])  # a smaller share, with its phrases
+        rows = [(0, broken + filler), (1, whole + filler), (2, broken + filler + " " + whole), (3, whole + filler + " " + broken)]
+        out = {r.doc_id: {m.label: m for m in r.matches} for r in license_scan.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert "mit" not in out[0] and "mit" in out[1] and "mit" in out[2] and "mit" in out[3]
+        assert abs(out[2]["mit"].first_word - len((broken + filler).split())) <= license_scan.SLACK
+        assert out[3]["mit"].first_word <= license_scan.SLACK
+
     def test_empty(self, no_docs):
         assert license_scan.licenses(no_docs).count() == 0
 
