@@ -264,7 +264,10 @@ def _term_counts(rows: DataFrame, only: frozenset[bytes] | None) -> DataFrame:
 
 
 def choose_terms(toxic: dict[bytes, int], clean: dict[bytes, int], n_toxic: int, n_clean: int, most: int = MOST_TERMS) -> list[Term]:
-    """Terms that tell the classes apart, without those that a longer or shorter one already stands for."""
+    """Terms that tell the classes apart, without those that a longer or shorter one already stands for.
+
+    A word that may be misspelled stays beside its beginning, as edits are looked for in whole words alone.
+    """
     def weight(t: bytes) -> float:
         return float(np.log((toxic[t] + 0.5) / (n_toxic + 1)) - np.log((clean.get(t, 0) + 0.5) / (n_clean + 1)))
 
@@ -286,7 +289,8 @@ def choose_terms(toxic: dict[bytes, int], clean: dict[bytes, int], n_toxic: int,
     out = []
     for t, w in kept.items():
         stem = t.rstrip(b"\x00")
-        if not any(stem[:k] in kept and kept[stem[:k]] >= w - 0.5 for k in range(1, len(stem) + (t != stem))):
+        bends = t != stem and len(stem) >= FUZZY_LETTERS
+        if bends or not any(stem[:k] in kept and kept[stem[:k]] >= w - 0.5 for k in range(1, len(stem) + (t != stem))):
             out.append((w * np.log1p(toxic[t]), t, w))
     out.sort(key=lambda x: (-x[0], x[1]))
     return [Term(t.rstrip(b"\x00"), t.endswith(b"\x00"), w) for _, t, w in out[:most]]

@@ -372,6 +372,15 @@ class TestToxicity:
                 want = next((2 * k + (w != t) for k, t in enumerate((b"stupid", b"idiot")) if within_one(w, t)), -1)
             assert label == want, w
 
+    def test_inflected_words_may_be_misspelled(self):
+        forms = {"stupid": 300, "stupidity": 40}
+        toxic = {w.encode() + b"\x00": n for w, n in forms.items()} | {b"stup": 340, b"stupi": 340, b"stupid": 40, b"stupidi": 40, b"stupidit": 40}
+        terms = toxicity.choose_terms(toxic, {}, 1000, 5000)
+        words = [b"stupid", b"stupidity", b"stupids", b"stpid", b"s7upid", b"sttupid", b"tupid", b"stopidity", b"other"]
+        ends = np.cumsum([len(w) + 1 for w in words]) - 1
+        got = toxicity.Automaton(terms).read(np.frombuffer(b" ".join(words), dtype=np.uint8), ends - [len(w) for w in words], ends)
+        assert (got[:-1] >= 0).all() and got[-1] == -1
+
     def test_quoted_finds_count_less(self):
         scorer = toxicity.Scorer([toxicity.Term(b"idiot", True, 5.0)])
         feature = lambda t: scorer.features(np.frombuffer(t.encode(), dtype=np.uint8), np.array([0, len(t.encode())]))[0, 0]
