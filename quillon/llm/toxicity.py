@@ -2,10 +2,10 @@
 
 Learning uses at most ``MOST_LABELLED`` labelled rows a class, those with the smallest hashes of the
 identifier. Words and word beginnings of the toxic ones that are rare in the
-clean ones form the lexicon, at most ``MOST_TERMS`` terms. The trie of its terms is intersected with
+clean ones form the lexicon: all that pass a test of evidence. The trie of ``TABLE_TERMS`` terms at a time is intersected with
 Levenshtein automata of one edit (for whole words of ``FUZZY_LETTERS`` bytes or
-more; an edit is one byte of UTF-8) and made deterministic, so a batch of words runs through one
-table and most words leave it after a few bytes. Exact and misspelled finds of
+more; an edit is one byte of UTF-8) and made deterministic, so a batch of words runs through a
+table, one for each such trie, and most words leave it after a few bytes. Exact and misspelled finds of
 a term are weighed apart, by what they say about the training rows.
 
 A find counts less where its window of ``WINDOW`` words holds a quotation mark or a word of report,
@@ -33,7 +33,7 @@ from quillon.llm.kernels import alnum_words, lower_ascii, row_slices, text_buffe
 from quillon.llm.shared import share
 
 MOST_LABELLED = 8_000
-MOST_TERMS = 400
+TABLE_TERMS = 400
 FUZZY_LETTERS = 5
 WINDOW = 6
 REJECT = 0.7
@@ -167,11 +167,32 @@ class Automaton:
         return out
 
 
+class Automata:
+    """Automata of ``TABLE_TERMS`` terms each, read as if they were one."""
+
+    def __init__(self, terms: list[Term]) -> None:
+        self.terms = terms
+        self.parts = [Automaton(terms[k : k + TABLE_TERMS]) for k in range(0, len(terms), TABLE_TERMS)]
+        self.worth = np.array([t.weight - 10.0 * e for t in terms for e in (0, 1)])
+
+    def read(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """For each word 2 * term + (1 if misspelled), or -1."""
+        out, before = np.full(len(starts), -1, dtype=np.int32), 0
+        for part in self.parts:
+            label = part.read(data, starts, ends)
+            at = np.flatnonzero(label >= 0)
+            label = label[at] + 2 * before
+            better = (out[at] < 0) | (self.worth[label] >= self.worth[out[at]])
+            out[at[better]] = label[better]
+            before += len(part.terms)
+        return out
+
+
 class Scorer:
     """Lexicon, automaton, weights of finds and the logistic model."""
 
     def __init__(self, terms: list[Term]) -> None:
-        self.automaton = Automaton(terms)
+        self.automaton = Automata(terms)
         self.weights = np.array([w for t in terms for w in (t.weight, 0.7 * t.weight)])
         self.model = np.array([0.0, 0.0, 0.0, 0.0, 0.0])
         words = sorted({w.encode() for w in (*REPORT_WORDS, *ADDRESS_WORDS)})
@@ -248,7 +269,7 @@ def _terms_of(text: bytes) -> set[bytes]:
     return out
 
 
-def _term_counts(rows: DataFrame, only: frozenset[bytes] | None) -> DataFrame:
+def _term_counts(rows: DataFrame) -> DataFrame:
     def count(batches):
         for batch in batches:
             data, offsets = text_buffer(batch.column(0))
@@ -256,22 +277,32 @@ def _term_counts(rows: DataFrame, only: frozenset[bytes] | None) -> DataFrame:
             for a, b in row_slices(offsets):
                 raw = lowered(data[offsets[a] : offsets[b]]).tobytes()
                 for k in range(a, b):
-                    terms = _terms_of(raw[offsets[k] - offsets[a] : offsets[k + 1] - offsets[a]])
-                    counts.update(terms if only is None else terms & only)
+                    counts.update(_terms_of(raw[offsets[k] - offsets[a] : offsets[k + 1] - offsets[a]]))
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
 
     return rows.select("text").mapInArrow(count, "term binary, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def choose_terms(toxic: dict[bytes, int], clean: dict[bytes, int], n_toxic: int, n_clean: int, most: int = MOST_TERMS) -> list[Term]:
+def telling(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int, tried: int) -> DataFrame:
+    """(term, n, c): the terms that can pass ``choose_terms``, from the counts (term, n) of both classes."""
+    expected = n_toxic / (n_toxic + n_clean)
+    both = toxic.join(clean.select("term", F.col("n").alias("c")), "term", "left").select("term", "n", F.coalesce("c", F.lit(0)).alias("c"))
+    n, c, rounding = F.col("n"), F.col("c"), 1e-9
+    weight = F.log((n + 0.5) / (n_toxic + 1)) - F.log((c + 0.5) / (n_clean + 1))
+    evidence = n * F.log(n / ((n + c) * expected)) + F.when(c > 0, c * F.log(c / ((n + c) * (1 - expected)))).otherwise(0.0)
+    return both.where((weight >= 1.5 - rounding) & (evidence > float(np.log(tried + 1)) + 1 - rounding))
+
+
+def choose_terms(toxic: dict[bytes, int], clean: dict[bytes, int], n_toxic: int, n_clean: int, tried: int | None = None) -> list[Term]:
     """Terms that tell the classes apart, without those that a longer or shorter one already stands for.
 
     A word that may be misspelled stays beside its beginning, as edits are looked for in whole words alone.
+    ``tried`` terms were looked at; those that fail may be left out of ``toxic``.
     """
     def weight(t: bytes) -> float:
         return float(np.log((toxic[t] + 0.5) / (n_toxic + 1)) - np.log((clean.get(t, 0) + 0.5) / (n_clean + 1)))
 
-    expected, tries = n_toxic / (n_toxic + n_clean), np.log(len(toxic) + 1) + 1
+    expected, tries = n_toxic / (n_toxic + n_clean), np.log((len(toxic) if tried is None else tried) + 1) + 1
 
     def evidence(t: bytes) -> float:
         """Log-likelihood ratio of the term's split over the classes against that of all rows."""
@@ -293,7 +324,7 @@ def choose_terms(toxic: dict[bytes, int], clean: dict[bytes, int], n_toxic: int,
         if bends or not any(stem[:k] in kept and kept[stem[:k]] >= w - 0.5 for k in range(1, len(stem) + (t != stem))):
             out.append((w * np.log1p(toxic[t]), t, w))
     out.sort(key=lambda x: (-x[0], x[1]))
-    return [Term(t.rstrip(b"\x00"), t.endswith(b"\x00"), w) for _, t, w in out[:most]]
+    return [Term(t.rstrip(b"\x00"), t.endswith(b"\x00"), w) for _, t, w in out]
 
 
 def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most: int = MOST_LABELLED) -> Scorer:
@@ -313,10 +344,11 @@ def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     if not n_toxic or not n_clean:
         return Scorer([])
     support = max(3, n_toxic // 500)
-    found = _term_counts(rows.where("y = 1"), None).where(F.col("n") >= support).orderBy(F.desc("n"), "term").limit(50_000).collect()
-    toxic = {bytes(r["term"]): r["n"] for r in found}
-    clean = {bytes(r["term"]): r["n"] for r in _term_counts(rows.where("y = 0"), frozenset(toxic)).collect()}
-    scorer = Scorer(choose_terms(toxic, clean, n_toxic, n_clean))
+    candidates = share(_term_counts(rows.where("y = 1")).where(F.col("n") >= support)).df
+    tried = candidates.count()
+    found = telling(candidates, _term_counts(rows.where("y = 0")), n_toxic, n_clean, tried).collect()
+    toxic, clean = {bytes(r["term"]): r["n"] for r in found}, {bytes(r["term"]): r["c"] for r in found}
+    scorer = Scorer(choose_terms(toxic, clean, n_toxic, n_clean, tried))
     n_labels = 2 * len(scorer.automaton.terms)
     if not n_labels:
         return scorer

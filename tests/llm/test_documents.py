@@ -381,6 +381,24 @@ class TestToxicity:
         got = toxicity.Automaton(terms).read(np.frombuffer(b" ".join(words), dtype=np.uint8), ends - [len(w) for w in words], ends)
         assert (got[:-1] >= 0).all() and got[-1] == -1
 
+    def test_no_telling_term_is_cut(self, spark, monkeypatch):
+        names = [f"{a}{b}{c}bad".encode() for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyz"]
+        terms = toxicity.choose_terms({n + b"\x00": 50 for n in names}, {}, 1000, 5000)
+        assert sorted(t.text for t in terms) == sorted(names)  # 600 terms
+        monkeypatch.setattr(toxicity, "TABLE_TERMS", 7)
+        some = [toxicity.Term(t.text, t.whole, 1.0 + k % 5) for k, t in enumerate(terms[:40])]
+        words = [t.text for t in some] + [t.text[1:] for t in some] + [b"other"]
+        ends = np.cumsum([len(w) + 1 for w in words]) - 1
+        place = np.frombuffer(b" ".join(words), dtype=np.uint8), ends - [len(w) for w in words], ends
+        assert (toxicity.Automata(some).read(*place) == toxicity.Automaton(some).read(*place)).all()
+
+        common = spark.range(60_000).selectExpr("cast(concat('common', id) as binary) AS term", "100L AS n")
+        rare = spark.createDataFrame([(bytearray(b"rarebad\x00"), 16)], "term binary, n long")
+        found = toxicity.telling(common.unionByName(rare), common, 8000, 8000, 60_001).collect()
+        assert [(bytes(r.term), r.n, r.c) for r in found] == []  # 16 of 60,001 at even odds is too little
+        found = toxicity.telling(common.unionByName(rare), common, 2000, 8000, 60_001).where("c = 0").collect()
+        assert [(bytes(r.term), r.n, r.c) for r in found] == [(b"rarebad\x00", 16, 0)]
+
     def test_quoted_finds_count_less(self):
         scorer = toxicity.Scorer([toxicity.Term(b"idiot", True, 5.0)])
         feature = lambda t: scorer.features(np.frombuffer(t.encode(), dtype=np.uint8), np.array([0, len(t.encode())]))[0, 0]
