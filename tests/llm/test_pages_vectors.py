@@ -212,7 +212,7 @@ class TestNearest:
     @pytest.mark.parametrize("block", [16384, 100])
     def test_recall_and_scores(self, spark, block):
         v, df = self.table(spark)
-        x = np.array(v)
+        x, ids = np.array([*v, v[5]]), np.array([*range(700), 5])
         rows = ann.nearest(df, block_rows=block, query_rows=8).collect()
         hits = total = 0
         by = {}
@@ -225,14 +225,55 @@ class TestNearest:
                 assert [(r.vec_id, r.score) for r in own] == [(2001, 4.0)]
                 continue
             scores = (x * x[q]).sum(axis=1)
-            order = [i for i in np.lexsort((np.arange(700), -scores)) if i != q][:20]
-            hits += len(set(order) & {r.vec_id for r in own})
+            order = [int(ids[i]) for i in np.lexsort((ids, -scores)) if i != q][:20]
+            hits += sum(min(order.count(i), [r.vec_id for r in own].count(i)) for i in set(order))
             total += 20
             assert [r.rank for r in own] == list(range(1, 21))
             assert all(math.isclose(r.score, scores[r.vec_id], rel_tol=1e-12) for r in own)
             assert [(-r.score, r.vec_id) for r in own] == sorted((-r.score, r.vec_id) for r in own)
         assert hits / total >= 0.9
 
+    def test_only_what_collides_is_verified(self):
+        rnd = np.random.default_rng(3)
+        x = rnd.normal(size=(4000, 16))
+        index = ann.Index(np.arange(4000), np.arange(4000), x, ann.lines_of(17, 2))
+        for q in range(0, 200, 20):
+            places, scores, verified = index.search(x[q], q, 20, ann.THRESHOLD, ann.GROWTH, ann.VERIFIED, ann.LEAST_VERIFIED)
+            assert len(places) == 20 and q not in places and verified < 0.12 * len(x)
+            assert scores.tolist() == sorted(scores, reverse=True)
+
+    def test_rows_that_share_an_identifier(self, spark):
+        rows = [(0, [1.0, 0.0]), (0, [2.0, 0.0]), (1, [3.0, 0.0]), (1, [3.0, 0.0])]
+        got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+        assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == sorted(
+            [(0, 1, 1, 3.0), (0, 2, 1, 3.0), (0, 3, 0, 2.0), (0, 1, 1, 6.0), (0, 2, 1, 6.0), (0, 3, 0, 2.0)]
+        )
+
+    @pytest.mark.parametrize("size", [1e-170, 1e-20, 1e20, 1e39, 1e200])
+    def test_any_magnitude(self, spark, size):
+        rows = [(k, [float(k % 7 + 1) * size, float(k % 5 - 2) * size, size]) for k in range(60)]
+        rows += [(100 + k, [1.0, float(k), -2.0]) for k in range(40)]
+        got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=5).collect()
+        count = {}
+        for r in got:
+            count[r.query_id] = count.get(r.query_id, 0) + 1
+        assert count == dict.fromkeys((0, 20, 40, 100, 120), 5)
+        x = dict(rows)
+        for r in got:
+            with np.errstate(over="ignore"):
+                want = float((np.array(x[r.query_id]) * np.array(x[r.vec_id])).sum())
+            assert r.score == want or math.isclose(r.score, want, rel_tol=1e-12)
+
+    def test_many_blocks_are_merged_in_steps(self, spark, monkeypatch):
+        monkeypatch.setattr(ann, "_FOLD", 2)
+        v, df = self.table(spark, 200, 8)
+        one = {(r.query_id, r.rank): r.vec_id for r in ann.nearest(df, block_rows=1000, verified=1.0).collect()}
+        assert one == {(r.query_id, r.rank): r.vec_id for r in ann.nearest(df, block_rows=25, verified=1.0).collect()}
+
+    def test_identifiers_are_whole_numbers(self, spark):
+        with pytest.raises(TypeError):
+            ann.nearest(spark.createDataFrame([("a", [1.0])], "vec_id string, embedding array<float>"))
+
     def test_fewer_than_asked_for(self, spark):
         df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (3, [0.5, 0.5])], "vec_id long, embedding array<float>")
         assert [(r.rank, r.vec_id, r.score) for r in ann.nearest(df).orderBy("rank").collect()] == [(1, 1, 0.5), (2, 3, 0.5)]
