@@ -113,14 +113,33 @@ def missing(x: Column) -> Column:
     return F.when(~F.isnan(x), x)
 
 
+def python_float(x: Column) -> Column:
+    """A double as Python spells it: its shortest digits, plain from 1e-4 up to 1e16, else with an exponent of two digits or more."""
+    text, size = F.abs(x).cast("string"), F.abs(x)
+    mantissa, power = F.substring_index(text, "E", 1), F.when(F.contains(text, F.lit("E")), F.substring_index(text, "E", -1).cast("int")).otherwise(0)
+    whole, part = F.substring_index(mantissa, ".", 1), F.substring_index(mantissa, ".", -1)
+    digits = F.concat(whole, F.when(part == "0", "").otherwise(part))
+    places = F.length(whole) + power  # digits before the point
+    plain = (
+        F.when(places >= F.length(digits), F.concat(F.rpad(digits, places, "0"), F.lit(".0")))
+        .when(places > 0, F.concat(F.substring(digits, F.lit(1), places), F.lit("."), F.substring(digits, places + 1, F.length(digits))))
+        .otherwise(F.concat(F.lit("0."), F.repeat(F.lit("0"), -places), digits))
+    )
+    strong = F.ltrim(digits, F.lit("0"))
+    exponent = F.concat(F.when(power < 0, "-").otherwise("+"), F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")))
+    far = F.concat(F.substring(strong, 1, 1), F.when(F.length(strong) > 1, F.concat(F.lit("."), F.substring(strong, F.lit(2), F.length(strong)))).otherwise(""), F.lit("e"), exponent)
+    # Java changes to an exponent at 1e7 and 1e-3, Python later, so a plain form of Java is one of Python.
+    out = F.when(~F.contains(text, F.lit("E")), text).when((size >= 1e-4) & (size < 1e16), plain).otherwise(far)
+    out = F.when(F.isnan(x), "nan").when(size == float("inf"), "inf").otherwise(out)
+    return F.concat(F.when((x < 0) | (x.cast("string") == "-0.0"), "-").otherwise(""), out)
+
+
 def sql_literal(x: Column, kind: str) -> Column:
     """A value as SQL text: NULL, 1 or 0, plain numbers, quoted strings."""
     if kind == "boolean":
         text = F.when(x, "1").otherwise("0")
     elif kind in ("double", "float"):
-        # Shortest digits, as in Python: 1e-07 and 1e+16 differ from Java's form only in the exponent.
-        text = F.when(F.isnan(x), "NULL").otherwise(x.cast("string"))
-        return F.when(x.isNull(), "NULL").otherwise(text)
+        return F.when(x.isNull() | F.isnan(x), "NULL").otherwise(python_float(x.cast("double")))
     elif kind in ("tinyint", "smallint", "int", "bigint"):
         text = x.cast("string")
     else:

@@ -88,31 +88,36 @@ def first_labels(triples: DataFrame, wanted: DataFrame | None = None) -> DataFra
     return best.select(*KEY, F.col("m.o").alias("label"), F.when(F.col("m.prio") == 0, "skos:prefLabel").otherwise("rdfs:label").alias("source"))
 
 
-def list_items(triples: DataFrame, heads: DataFrame, most: int = 1000) -> DataFrame:
+def list_items(triples: DataFrame, heads: DataFrame) -> DataFrame:
     """(onto_id, head, position, item, item_kind) of RDF lists that begin at ``heads`` (onto_id, head).
 
-    The frontier moves one cell of all lists at a time and ends at nil, at a cell without
-    first or rest, or at a cell already seen. A cell's first and rest are its smallest values.
+    A list ends at nil, at a cell without first or rest, or at a cell already seen. A cell's first and rest are its
+    smallest values. Round k knows the cells up to 2^k steps from a head and joins them with the cell 2^k steps on, so a
+    list of n cells takes log2(n) rounds; a round that finds no new cell of any list, cyclic ones too, is the last.
     """
     def smallest(predicate: str, name: str) -> DataFrame:
         return pairs(triples, predicate).groupBy(*KEY).agg(F.min(F.struct("o", "o_kind")).alias(name))
 
-    cells = smallest(V.FIRST, "f").join(smallest(V.REST, "r"), KEY, "left").select(
+    cells = smallest(V.FIRST, "f").join(smallest(V.REST, "r"), KEY, "left").where(F.col("s") != V.NIL).select(
         "onto_id", F.col("s").alias("cell"), F.col("f.o").alias("item"), F.col("f.o_kind").alias("item_kind"), F.col("r.o").alias("next")
     )
     cells = materialise(cells)
-    frontier = heads.select("onto_id", "head", F.col("head").alias("cell"), F.array("head").alias("seen")).distinct()
-    out = None
-    for position in range(most):
-        step = materialise(frontier.where(F.col("cell") != V.NIL).join(cells, ["onto_id", "cell"]))
-        rows = step.select("onto_id", "head", F.lit(position).alias("position"), "item", "item_kind")
-        out = rows if out is None else out.unionByName(rows)
-        if step.isEmpty():
-            return out
-        frontier = step.where(F.col("next").isNotNull() & ~F.array_contains("seen", F.col("next"))).select(
-            "onto_id", "head", F.col("next").alias("cell"), F.concat("seen", F.array("next")).alias("seen")
-        )
-    raise ValueError(f"a list has more than {most} cells")
+    known = cells.select("onto_id", F.col("cell").alias("next"))
+    jump = cells.where("next IS NOT NULL").join(known, ["onto_id", "next"], "left_semi").select("onto_id", "cell", "next")
+    begun = heads.select("onto_id", "head", F.col("head").alias("cell")).distinct().join(cells.select("onto_id", "cell"), ["onto_id", "cell"], "left_semi")
+    reach, found, step = begun.withColumn("position", F.lit(0)), -1, 1
+    while True:
+        reach = materialise(reach)
+        n = reach.count()
+        if n == found:
+            return reach.join(cells, ["onto_id", "cell"]).select("onto_id", "head", "position", "item", "item_kind")
+        if found >= 0:
+            further = jump.select("onto_id", F.col("cell").alias("next"), F.col("next").alias("last"))
+            jump = materialise(jump.join(further, ["onto_id", "next"]).select("onto_id", "cell", F.col("last").alias("next")))
+        found = n
+        onward = reach.join(jump, ["onto_id", "cell"]).select("onto_id", F.col("next").alias("cell"), "head", (F.col("position") + step).alias("position"))
+        step *= 2
+        reach = reach.select(*onward.columns).unionByName(onward).groupBy("onto_id", "cell", "head").agg(F.min("position").alias("position"))
 
 
 def fillers(triples: DataFrame) -> DataFrame:
@@ -160,14 +165,17 @@ def breadth(edges: DataFrame) -> DataFrame:
     )
 
 
-def _longest_path(edges: Iterable[tuple[str, str]], parents: set[str]) -> tuple[int, int]:
-    """Longest downward path in nodes and the number of back edges cut, visiting nodes in sorted order."""
+def _longest_path(edges: Iterable[tuple[str, str]], parents: set[str], known: dict[str, int] | None = None) -> tuple[int, int]:
+    """Longest downward path in nodes and the number of back edges cut, visiting nodes in sorted order.
+
+    ``known`` are depths of children that are not walked.
+    """
     below: dict[str, list[str]] = {p: [] for p in parents}
     for parent, child in edges:
         below[parent].append(child)
     for children in below.values():
         children.sort()
-    depth: dict[str, int] = {}
+    depth: dict[str, int] = dict(known or {})
     cut = 0
     for root in sorted(below):
         if root in depth:
@@ -194,40 +202,53 @@ def _longest_path(edges: Iterable[tuple[str, str]], parents: set[str]) -> tuple[
     return max((depth[p] for p in below), default=0), cut
 
 
-def depths(edges: DataFrame, most: int = 200) -> DataFrame:
+#: After so many rounds of peeling, what is left is walked if no ontology has more edges left than WALKED_EDGES.
+PEELED_ROUNDS = 64
+WALKED_EDGES = 1_000_000
+
+
+def depths(edges: DataFrame, rounds: int = PEELED_ROUNDS, walked_edges: int = WALKED_EDGES) -> DataFrame:
     """(onto_id, max_depth, back_edges) of each taxonomy.
 
-    Leaves are peeled level by level: a parent's depth is known once all its children's are.
-    What is left when nothing can be peeled holds a cycle; those ontologies, and only
-    those, are walked depth-first in sorted order.
+    Leaves are peeled level by level, however many there are: a parent's depth is known once all its children's are. When
+    nothing can be peeled, what is left lies on or above a cycle; that part alone is walked depth-first in sorted order, with
+    the depths of the peeled children. Deep hierarchies may be walked from ``rounds`` on, if few enough edges are left; the result is the same.
     """
     edges = materialise(edges)
     real = edges.where("NOT loop").select("onto_id", "parent", "child")
     keys = edges.select("onto_id").distinct()
     alive = edges.select("onto_id", F.col("parent").alias("n")).unionByName(real.select("onto_id", F.col("child").alias("n"))).distinct()
-    left, level, found = real, 0, None
-    while level < most:
+    left, level, peeled = real, 0, None
+    while True:
         leaves = materialise(alive.join(left.select("onto_id", F.col("parent").alias("n")).distinct(), ["onto_id", "n"], "left_anti"))
-        done = leaves.select("onto_id").distinct().withColumn("depth", F.lit(level + 1))
-        found = done if found is None else found.unionByName(done)
         if leaves.isEmpty():
             break
+        done = leaves.withColumn("depth", F.lit(level + 1))
+        peeled = done if peeled is None else peeled.unionByName(done)
         alive = materialise(alive.join(leaves, ["onto_id", "n"], "left_anti"))
         left = materialise(left.join(leaves.withColumnRenamed("n", "child"), ["onto_id", "child"], "left_anti"))
         level += 1
-    peeled = found.groupBy("onto_id").agg(F.max("depth").alias("max_depth"))
-    cyclic = alive.select("onto_id").distinct()
-    acyclic = keys.join(cyclic, "onto_id", "left_anti").join(peeled, "onto_id").select("onto_id", "max_depth", F.lit(0).alias("back_edges"))
-    if cyclic.isEmpty():
-        return acyclic
+        if level % rounds == 0:
+            peeled = materialise(peeled)
+            most = left.groupBy("onto_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+            if most is not None and most <= walked_edges:
+                break
+    if peeled is None:
+        peeled = edges.select("onto_id", F.col("parent").alias("n"), F.lit(0).alias("depth")).limit(0)
+    by_peeling = peeled.groupBy("onto_id").agg(F.max("depth").alias("max_depth")).withColumn("back_edges", F.lit(0))
+    if alive.isEmpty():
+        return keys.join(by_peeling, "onto_id")
 
     def walk(table: pa.Table) -> pa.Table:
-        rows = list(zip(table.column("parent").to_pylist(), table.column("child").to_pylist(), strict=True))
-        depth, cut = _longest_path([(p, c) for p, c in rows if p != c], {p for p, _ in rows})
-        return pa.table({"onto_id": table.column("onto_id").slice(0, 1), "max_depth": pa.array([depth], pa.int32()), "back_edges": pa.array([cut], pa.int32())})
-
-    walked = edges.select("onto_id", "parent", "child").join(cyclic, "onto_id", "left_semi").groupBy("onto_id")
-    return acyclic.unionByName(walked.applyInArrow(walk, "onto_id string, max_depth int, back_edges int"))
+        parents, children, depth = (table.column(c).to_pylist() for c in ("parent", "child", "depth"))
+        found, cut = _longest_path(zip(parents, children, strict=True), set(parents), {c: d for c, d in zip(children, depth, strict=True) if d is not None})
+        return pa.table({"onto_id": table.column("onto_id").slice(0, 1), "max_depth": pa.array([found], pa.int32()), "back_edges": pa.array([cut], pa.int32())})
+
+    open_edges = real.join(alive.withColumnRenamed("n", "parent"), ["onto_id", "parent"], "left_semi")
+    open_edges = open_edges.join(peeled.withColumnRenamed("n", "child"), ["onto_id", "child"], "left").select("onto_id", "parent", "child", "depth")
+    walked = open_edges.groupBy("onto_id").applyInArrow(walk, "onto_id string, max_depth int, back_edges int")
+    both = by_peeling.unionByName(walked).groupBy("onto_id").agg(F.max("max_depth").alias("max_depth"), F.max("back_edges").alias("back_edges"))
+    return keys.join(both, "onto_id")
 
 
 def top_counts(counts: DataFrame, key: str, k: int, count: str = "n") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -122,6 +124,43 @@ def define_score(triples: DataFrame, population: DataFrame, values: DataFrame) -
     )
 
 
+def definition_sources(triples: DataFrame, values: DataFrame, properties: DataFrame | None = None) -> DataFrame:
+    """(onto_id, p, n): of the defined entities (``values``: onto_id, iri), how many have each definition property, whatever its value is."""
+    if properties is None:
+        uses = G.pairs(triples, *V.DEFINITION_PROPERTIES)
+    else:
+        uses = triples.join(properties.select("onto_id", "p"), ["onto_id", "p"], "left_semi")
+    own = uses.select("onto_id", F.col("s").alias("iri"), "p").join(values.select(*KEYS), KEYS, "left_semi")
+    return own.groupBy("onto_id", "p").agg(F.countDistinct("iri").alias("n"))
+
+
+def label_sources(triples: DataFrame, values: DataFrame) -> DataFrame:
+    """(onto_id, source, n): where the labels of the defined entities come from."""
+    found = G.first_labels(triples, values).select("onto_id", F.col("s").alias("iri"), "source")
+    named = values.select(*KEYS).join(found, KEYS, "left").withColumn("source", F.coalesce("source", F.lit("iri_local_name")))
+    return named.groupBy("onto_id", "source").agg(F.count(F.lit(1)).alias("n"))
+
+
+def counted(counts: DataFrame, key: str, k: int | None = None, count: str = "n") -> DataFrame:
+    """(onto_id, counts): a map of key to count for each ontology, the largest ``k`` if given, largest first and ties by key."""
+    listed = F.array_sort(F.collect_list(F.struct((-F.col(count)).alias("minus"), F.col(key).alias("key"), F.col(count).alias("n"))))
+    top = (G.top_counts(counts, key, k, count) if k is not None else counts).groupBy("onto_id").agg(listed.alias("l"))
+    return top.select("onto_id", F.map_from_entries(F.transform("l", lambda x: F.struct(x["key"], x["n"]))).alias("counts"))
+
+
+def cut_counts(triples: DataFrame, texts: DataFrame, pieces: Callable[[Column], Column], most: int = 128) -> DataFrame:
+    """(onto_id, short, cut_definitions, cut_labels): definitions under the least number of words, and texts that fill an encoder.
+
+    ``texts``: onto_id, iri, definition; ``pieces`` counts the encoder's pieces of a text, its marks included.
+    """
+    labels = G.first_labels(triples, texts).select("onto_id", F.col("s").alias("iri"), "label")
+    named = texts.join(labels, KEYS, "left").withColumn("label", F.coalesce("label", label_fragment(F.col("iri"))))
+    return named.groupBy("onto_id").agg(
+        F.count_if(F.size(tokens(F.col("definition"))) < V.MIN_TOKENS).alias("short"),
+        F.count_if(pieces(F.col("definition")) >= most).alias("cut_definitions"), F.count_if(pieces(F.col("label")) >= most).alias("cut_labels"),
+    )
+
+
 def detected_definition_properties(triples: DataFrame) -> DataFrame:
     """(onto_id, p, uses): properties named or labelled as definition that hold text in at least 80 % of their uses.
 

@@ -22,13 +22,18 @@ def evaluate(files: DataFrame, now: Column, run_id: str, declared: DataFrame | N
     """Columns of evaluation rows, to be upserted, of files (acronym, submission_id, content, master).
 
     Archives are opened, formats sniffed, parsers tried in turn; what can't be read becomes a row with status parse_failed and
-    its error, and all others are scored by one plan. ``declared`` (onto_id, iri, at) are the registry's definition properties.
+    its error, and all others are scored by one plan. ``declared`` (onto_id, iri, at) are the registry's definition properties
+    of an acronym. Submissions of one acronym are ontologies of their own.
     """
-    opened = archives.expanded(files.withColumn("onto_id", F.col("acronym")))
+    name = F.to_json(F.struct(*KEY)).alias("onto_id")
+    opened = archives.expanded(files.withColumn("onto_id", name))
+    keys = files.select(*KEY, name).distinct()
+    if declared is not None:
+        declared = keys.join(declared.withColumnRenamed("onto_id", "acronym"), "acronym").select("onto_id", "iri", "at")
     parsed = materialise(rdf.parsed(opened))
     scored = summary(rdf.triples(parsed), declared, encoder)
-    scored = scored.select(F.col("onto_id").alias("acronym"), *[F.col(c).cast("double").alias(c) for c in SCORES], F.to_json(F.struct(*[c for c in scored.columns if c not in ("onto_id", *SCORES)])).alias("summary_json"))
-    rows = files.select(*KEY).join(parsed.select(F.col("onto_id").alias("acronym"), "error", "format"), "acronym", "left").join(scored, "acronym", "left")
+    scored = scored.select("onto_id", *[F.col(c).cast("double").alias(c) for c in SCORES], F.to_json(F.struct(*[c for c in scored.columns if c not in ("onto_id", *SCORES)])).alias("summary_json"))
+    rows = keys.join(parsed.select("onto_id", "error", "format"), "onto_id", "left").join(scored, "onto_id", "left")
     failed = F.col("error").isNotNull()
     have = {
         "acronym": F.col("acronym"), "submission_id": F.col("submission_id").cast("long"), "status": F.when(failed, "parse_failed").otherwise("done"), "finished_at": now.cast("string"),

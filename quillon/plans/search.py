@@ -202,6 +202,43 @@ def shown(score: Column, digits: int = 2) -> Column:
     return F.when(score.isNotNull(), F.format_string(f"%.{digits}f", score)).otherwise("n/a")
 
 
+def rank_text(rank: Column, total: Column) -> Column:
+    """A rank among the scored ontologies of a search; empty without a rank."""
+    return F.when(rank.isNotNull(), F.concat(F.lit("#"), rank.cast("string"), F.lit(" of "), total.cast("string"))).otherwise("")
+
+
+#: How a status is shown.
+STATUS_TEXTS = {
+    "scored": "Scored", "pending": "Not scored yet", "empty": "No entities found", "not_an_ontology": "Not an ontology file", "parse_failed": "File could not be read",
+    "timed_out": "Took too long", "too_large": "File too large", "failed": "Failed", "not_downloadable": "No file to download", "no_submission": "No submission",
+}
+
+
+def status_text(status: Column) -> Column:
+    """The words for a status."""
+    known = F.create_map(*[F.lit(x) for pair in STATUS_TEXTS.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, status), F.lit("Not scored"))
+
+
+def payload(results: DataFrame, sources: DataFrame) -> DataFrame:
+    """(keyword, body): the answer to each keyword as one JSON document, results in relevance order, nulls kept.
+
+    ``results`` as ``with_ranks`` of ``enriched`` gives them; ``sources`` (keyword, source, note, total_hits) as ``cascade``
+    does. A keyword has a bounded number of results, those of one answer of the registry or of the full-text index.
+    """
+    columns = [c for c in results.columns if c not in ("keyword", "scored_count")]
+    key = F.struct((-F.col("relevance")).alias("far"), "best_rank", "acronym")
+    listed = F.array_sort(F.collect_list(F.struct(key.alias("at"), F.struct(*columns).alias("row"))))
+    rows = results.groupBy("keyword").agg(F.transform(listed, lambda x: x["row"]).alias("results"), F.max("scored_count").alias("scored_count"))
+    own = sources.select("keyword", "source", "note", "total_hits").join(rows, "keyword", "left")
+    none = F.array().cast(dict(rows.dtypes)["results"])
+    body = F.struct(
+        "keyword", "source", "note", "total_hits", F.coalesce(F.size("results"), F.lit(0)).alias("count"),
+        F.coalesce("scored_count", F.lit(0)).alias("scored_count"), F.coalesce("results", none).alias("results"),
+    )
+    return own.select("keyword", F.to_json(body, {"ignoreNullFields": "false"}).alias("body"))
+
+
 def bar_width(score: Column) -> Column:
     return F.when(score.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(100.0), score * 10))).otherwise(0.0)
 

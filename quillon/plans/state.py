@@ -55,9 +55,15 @@ def work_queue(downloads: DataFrame, evaluations: DataFrame, max_attempts: int =
     return rows.withColumn("action", F.when(tired, "gave_up").otherwise("run"))
 
 
-def in_order(queue: DataFrame) -> DataFrame:
-    """Smallest files first, unknown sizes before them, as the campaign takes them."""
-    return queue.orderBy(F.col("eval_bytes").asc_nulls_first(), "acronym", "submission_id")
+def in_order(queue: DataFrame, unknown_last: bool = False) -> DataFrame:
+    """Smallest files first; unknown sizes before them, as the campaign takes them, or after them, as downloads are taken."""
+    size = F.col("eval_bytes")
+    return queue.orderBy(size.asc_nulls_last() if unknown_last else size.asc_nulls_first(), "acronym", "submission_id")
+
+
+def size_totals(queue: DataFrame) -> DataFrame:
+    """(action, files, unknown, bytes): what a queue holds; unknown sizes count 0."""
+    return queue.groupBy("action").agg(F.count(F.lit(1)).alias("files"), F.count_if(F.col("eval_bytes").isNull()).alias("unknown"), F.sum(F.coalesce("eval_bytes", F.lit(0))).alias("bytes"))
 
 
 def started(evaluations: DataFrame, keys: DataFrame, run_id: str, at: Column) -> DataFrame:
@@ -223,6 +229,7 @@ def merged_serving(old: DataFrame, new: DataFrame) -> DataFrame:
     rows = new.join(before, ["provider", "acronym"], "left")
     keep = F.col("status").isin(*KEEP_OLD) & F.coalesce(F.col("_status") == "scored", F.lit(False))
     number = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("None"))
+    # Fixed text.
     detail = F.concat(
         F.lit("Submission "), number("submission_id"), F.lit(" is not scored yet ("), F.col("status"),
         F.lit(" on the nightly runner); the scores shown are for submission "), number("_sub"), F.lit(". Run it on the GPU machine."),

@@ -31,24 +31,48 @@ def session(name: str = "quillon", master: str | None = None, **conf: str) -> Sp
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir; a local one where it is unset."""
+    """The shared folder that the cluster names in spark.checkpoint.dir.
+
+    Only a local master, whose executors are the driver, may leave it unset and get a folder of its own.
+    """
     import tempfile
 
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _SCRATCH:
         _SCRATCH[app] = "file://" + tempfile.mkdtemp(prefix="quillon-")
     return _SCRATCH[app]
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it takes it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+class Step:
+    """A written table: ``df`` reads it, ``drop()`` deletes it once nothing needs it any more; else it goes with the driver."""
+
+    def __init__(self, df: DataFrame, name: str = "step") -> None:
+        self.spark = df.sparkSession
+        self.path = f"{scratch_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(self.path)
+        files, place = file_system(self.spark, self.path)
+        files.deleteOnExit(place)
+        self.df = self.spark.read.schema(df.schema).parquet(self.path)
+
+    def drop(self) -> None:
+        files, place = file_system(self.spark, self.path)
+        files.delete(place, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write to the scratch folder and read back: cuts the lineage of an iteration and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/step-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Step(df).df
 
 
 def spread(df: DataFrame) -> DataFrame:

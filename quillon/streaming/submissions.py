@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,31 +26,46 @@ def status_counts(rows: DataFrame, window: str = "1 hour") -> DataFrame:
     return rows.groupBy(F.window("landed_at", window).alias("w"), "status").agg(F.count(F.lit(1)).alias("n")).select("w.start", "w.end", "status", "n")
 
 
+_COMMIT = "version bigint, query string, batch bigint"
+
+
+def _commits(spark: SparkSession, table: str) -> DataFrame:
+    """The whole versions of a serving table, none before the first."""
+    try:
+        return spark.read.schema(_COMMIT).json(f"{table}/commits")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _COMMIT)
+
+
 def keep_serving(rows: DataFrame, table: str, score: Callable[[DataFrame], DataFrame], checkpoint: str) -> StreamingQuery:
     """Score every batch of submissions and merge the rows into the serving table at ``table``.
 
-    Versions of the table are folders; the file ``CURRENT`` holds the last whole one, so a batch that is run
-    again after a failure starts from the same version and gives the same result.
+    Versions of the table are folders, and a version counts once a row in ``commits`` names it; nothing that counts is ever
+    overwritten. The row also names the stream and the batch, so a batch that is run again after a failure either finds
+    itself done or starts from the same version, and a new checkpoint goes on from the last version. One stream writes at a time.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        last = [r[0] for r in spark.read.text(f"{table}/CURRENT").collect()] if _exists(spark, f"{table}/CURRENT") else []
-        if last and int(last[0]) >= number:
+        query = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        commits = _commits(spark, table)
+        if not commits.where((F.col("query") == query) & (F.col("batch") == number)).isEmpty():
             return
+        last = commits.agg(F.max("version")).first()[0]
         new = score(batch)
-        merged = state.merged_serving(spark.read.parquet(f"{table}/v{last[0]}"), new) if last else new
-        merged.write.mode("overwrite").parquet(f"{table}/v{number}")
-        spark.createDataFrame([(str(number),)], "value string").coalesce(1).write.mode("overwrite").text(f"{table}/CURRENT")
+        merged = new if last is None else state.merged_serving(spark.read.parquet(f"{table}/v{last}"), new)
+        version = 0 if last is None else last + 1
+        merged.write.mode("overwrite").parquet(f"{table}/v{version}")
+        spark.createDataFrame([(version, query, number)], _COMMIT).coalesce(1).write.mode("append").json(f"{table}/commits")
 
     return rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
-
-
 def current(spark: SparkSession, table: str) -> DataFrame:
     """The last whole version of a serving table."""
-    return spark.read.parquet(f"{table}/v{spark.read.text(f'{table}/CURRENT').first()[0]}")
+    last = _commits(spark, table).agg(F.max("version")).first()[0]
+    if last is None:
+        raise ValueError(f"{table} has no whole version")
+    return spark.read.parquet(f"{table}/v{last}")

@@ -27,6 +27,12 @@ def test_evaluate(spark):
     assert '"classes":2' in rows["a"].summary_json
 
 
+def test_submissions_of_one_acronym_stay_apart(spark):
+    two = spark.createDataFrame([("a", 1, bytearray(GOOD), None), ("a", 2, bytearray(GOOD.replace(b":B a owl:Class ;", b":B a owl:Class . :C a owl:Class . :B")), None)], FILES)
+    rows = {r.submission_id: r for r in C.evaluate(two, F.lit("now"), "r1").collect()}
+    assert '"classes":2' in rows[1].summary_json and '"classes":3' in rows[2].summary_json
+
+
 def test_queue_and_repair(spark):
     downloads = spark.createDataFrame([{"acronym": a, "submission_id": 1, "status": "ok", "eval_bytes": n, "variant": "rdf:latest"} for a, n in (("a", 2), ("b", 1), ("c", 3))], schemas.DOWNLOADS)
     before = spark.createDataFrame([{"acronym": "c", "submission_id": 1, "status": "crashed", "attempts": 2}], schemas.EVALUATIONS)

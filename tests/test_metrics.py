@@ -127,6 +127,65 @@ def test_depth_of_random_hierarchies(spark):
     assert walked == {k: (v, 0) for k, v in want.items()}
 
 
+def test_depths_of_cycles_and_of_what_lies_below(spark):
+    rnd = random.Random(9)
+    rows = []
+    for o in range(5):
+        edges = {(a, b) for a, b in ((rnd.randint(0, 40), rnd.randint(0, 40)) for _ in range(45)) if a != b}
+        rows += [(str(o), f"{a:03}", f"{b:03}", False) for a, b in edges] + [(str(o), "050", "051", False), (str(o), "052", "052", True)]
+    table = spark.createDataFrame(rows, "onto_id string, parent string, child string, loop boolean")
+    want = {k: G._longest_path([(r[1], r[2]) for r in rows if r[0] == k and not r[3]], {r[1] for r in rows if r[0] == k}) for k in "01234"}
+    assert any(cut for _, cut in want.values())
+    assert {r.onto_id: (r.max_depth, r.back_edges) for r in G.depths(table).collect()} == want
+
+
+@pytest.mark.parametrize("walked_edges", [0, 1000])
+def test_depths_without_a_level_limit(spark, walked_edges):
+    chain = [("c", f"{k:02}", f"{k + 1:02}", False) for k in range(11)] + [("d", "a", "b", False)]
+    table = spark.createDataFrame(chain, "onto_id string, parent string, child string, loop boolean")
+    assert {r.onto_id: r.max_depth for r in G.depths(table, rounds=4, walked_edges=walked_edges).collect()} == {"c": 12, "d": 2}
+
+
+def test_long_cyclic_and_shared_lists(spark):
+    def cell(k, item, rest):
+        return [("o", k, "bnode", V.FIRST, item, "literal", None, None), ("o", k, "bnode", V.REST, rest, "bnode", None, None)]
+
+    n, rows = 5000, []
+    for k in range(n):
+        rows += cell(f"c{k}", f"i{k}", f"c{k + 1}" if k + 1 < n else V.NIL)
+    rows += cell("x0", "a", "x1") + cell("x1", "b", "x2") + cell("x2", "c", "x1") + cell("y0", "first", f"c{n - 2}")
+    heads = spark.createDataFrame([("o", h) for h in ("c0", "x0", "y0", V.NIL, "none")], "onto_id string, head string")
+    got = {}
+    for r in G.list_items(spark.createDataFrame(rows, schemas.TRIPLES), heads).collect():
+        got.setdefault(r["head"], []).append((r.position, r["item"]))
+    assert sorted(got["c0"]) == [(k, f"i{k}") for k in range(n)]
+    assert sorted(got["x0"]) == [(0, "a"), (1, "b"), (2, "c")]
+    assert sorted(got["y0"]) == [(0, "first"), (1, f"i{n - 2}"), (2, f"i{n - 1}")]
+    assert set(got) == {"c0", "x0", "y0"}
+
+
+def test_source_counts(triples, people):
+    values = people.select("onto_id", "iri").limit(0)
+    assert M.definition_sources(triples, values).isEmpty() and M.label_sources(triples, values).isEmpty()
+    named = M.label_sources(triples, people).groupBy("onto_id").agg(F.sum("n").alias("n"))
+    assert {r.onto_id: r.n for r in named.collect()} == {r.onto_id: r["count"] for r in people.groupBy("onto_id").count().collect()}
+    for r in M.counted(M.label_sources(triples, people), "source", 2).collect():
+        assert 1 <= len(r.counts) <= 2 and list(r.counts.values()) == sorted(r.counts.values(), reverse=True)
+
+
+def test_cut_counts(triples, spark):
+    texts = spark.createDataFrame([("o", "http://e/a", "one two"), ("o", "http://e/b", "w " * 40)], "onto_id string, iri string, definition string")
+    (row,) = M.cut_counts(triples, texts, lambda x: F.size(F.split(x, " ")), most=30).collect()
+    assert (row.short, row.cut_definitions, row.cut_labels) == (1, 1, 0)
+
+
+@pytest.mark.parametrize("x", [0.0, -0.0, 1.0, -2.5, 0.1, 1e-3, 1.5e-3, 1e-4, 1.25e-4, 1e-5, 1.5e-7, 1e7, 12345678.9, 1e15, 1.2345678901234567e15, 1e16, 1.5e300, 2.5e-300, 123456789012345680.0, 1 / 3, float("inf")])
+def test_python_floats(spark, x):
+    from quillon.functions.text import python_float
+
+    assert spark.createDataFrame([(x,)], "x double").select(python_float(F.col("x"))).first()[0] == repr(x)
+
+
 def test_list_walk(triples):
     heads = G.pairs(triples, V.INTERSECTION).select("onto_id", F.col("o").alias("head"))
     rows = sorted((r.onto_id, r.position, r["item"]) for r in G.list_items(triples, heads).collect())

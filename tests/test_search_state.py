@@ -182,3 +182,34 @@ def test_report():
     text = R.nightly_report([("A", "scored", 5.0), ("B", "failed", None)], [("C", "too_large")], 7, 1)
     assert "| A | scored | 5.00 |" in text and "| B | failed |  |" in text and "C (too_large)" in text
     assert pytest is not None
+
+
+def test_half_even(spark):
+    rows = spark.createDataFrame([(6.125,), (6.135,), (2.5,), (None,)], "x double").select(R.half_even(F.col("x")).alias("y")).collect()
+    assert [r.y for r in rows] == [6.12, 6.14, 2.5, None]
+
+
+def test_queue_order_totals_and_slowest(spark):
+    queue = spark.createDataFrame([("a", 1, 5, "run"), ("b", 1, None, "run"), ("c", 1, 2, "gave_up")], "acronym string, submission_id long, eval_bytes long, action string")
+    assert [r.acronym for r in St.in_order(queue).collect()] == ["b", "c", "a"]
+    assert [r.acronym for r in St.in_order(queue, unknown_last=True).collect()] == ["c", "a", "b"]
+    assert {r.action: (r.files, r.unknown, r.bytes) for r in St.size_totals(queue).collect()} == {"run": (2, 1, 5), "gave_up": (1, 0, 2)}
+    assert [r.acronym for r in R.slowest(queue, 1, "eval_bytes").collect()] == ["a"]
+
+
+def test_full_text_refresh(spark):
+    rows = spark.createDataFrame([("p", "A'", "n", None, "c", 1)], "provider string, acronym string, name string, description string, categories string, more int")
+    assert [r.value for r in R.full_text_refresh(rows).orderBy("at").collect()] == [
+        "DELETE FROM ontology_search WHERE provider = 'p' AND acronym = 'A'''" + ";",
+        "INSERT INTO ontology_search (provider, acronym, name, description, categories) VALUES ('p', 'A''', 'n', NULL, 'c');",
+    ]
+
+
+def test_payload_and_texts(spark):
+    results = spark.createDataFrame([("k", "A", 0.5, 2, 1), ("k", "B", 1.0, 1, 1)], "keyword string, acronym string, relevance double, best_rank int, scored_count long")
+    sources = spark.createDataFrame([("k", "cache", None, 7), ("none", "fallback", "note", None)], "keyword string, source string, note string, total_hits long")
+    got = {r.keyword: json.loads(r.body) for r in S.payload(results, sources).collect()}
+    assert [r["acronym"] for r in got["k"]["results"]] == ["B", "A"] and got["k"]["count"] == 2 and got["k"]["total_hits"] == 7 and got["k"]["scored_count"] == 1
+    assert got["none"] == {"keyword": "none", "source": "fallback", "note": "note", "total_hits": None, "count": 0, "scored_count": 0, "results": []}
+    row = spark.range(1).select(S.rank_text(F.lit(2), F.lit(9)), S.rank_text(F.lit(None).cast("int"), F.lit(9)), S.status_text(F.lit("empty")), S.status_text(F.lit("?"))).first()
+    assert tuple(row) == ("#2 of 9", "", "No entities found", "Not scored")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import io
 import json
+import shutil
 import zipfile
 
 import pytest
@@ -187,5 +188,21 @@ def test_stream_keeps_the_serving_table(spark, tmp_path):
 
     land("1.json", ("A", 1, "scored", "2026-01-01T00:00:00Z"), ("A", 1, "scored", "2026-01-01T00:01:00Z"))
     assert run() == {"A": (1, "scored")}
+    whole = {p.name for p in (tmp_path / "table").glob("v*")}
+    (tmp_path / "table" / f"v{len(whole)}").mkdir()  # a version that was being written when the stream died
     land("2.json", ("A", 2, "timed_out", "2026-01-01T01:00:00Z"), ("B", 1, "scored", "2026-01-01T01:00:00Z"))
     assert run() == {"A": (1, "scored"), "B": (1, "scored")}
+    shutil.rmtree(tmp_path / "check")  # a new checkpoint numbers its batches from 0 again
+    shutil.rmtree(landed)
+    landed.mkdir()
+    land("3.json", ("C", 1, "scored", "2026-01-02T00:00:00Z"))
+    assert run() == {"A": (1, "scored"), "B": (1, "scored"), "C": (1, "scored")}
+
+
+def test_header_names(spark):
+    cases = {
+        'attachment; filename="a b.owl"': "a b.owl", "attachment; filename=x.ttl; size=3": "x.ttl", "inline; filename*=UTF-8''na%C3%AFve%20x+y.owl; filename=plain.owl": "naïve x+y.owl",
+        'attachment; filename="q\\"uote.owl"': 'q"uote.owl', "attachment": None, "attachment; filename*=ISO-8859-1'en'%A3.owl": "%A3.owl", "ATTACHMENT; FILENAME=up.owl": "up.owl",
+    }
+    rows = spark.createDataFrame([(h,) for h in cases], "h string").select("h", archives.server_filename(F.col("h")).alias("n")).collect()
+    assert {r.h: r.n for r in rows} == cases
