@@ -7,12 +7,16 @@ repeated groups. The result, an expression without unions, is the wrapper of bot
 with wrappers in the same way. So pages fold into wrappers in the tasks that read them, equal wrappers become one,
 and the rest are folded about ``FOLDS`` at a time, round after round, until a host has one: no task ever holds a host's pages.
 
-The wrapper tells template from content: texts of an element that are the same on all of at least
-``LEAST_PAGES`` pages are template, if other texts around them vary from page to page (texts that differ
-inside a page alone do not; an article, a main element or what holds one is never template). Long texts are held by
-their length and digest. Without an article, a main element or a class that says content, all that is
+The wrapper tells template from content. A text slot knows how many different values it took, up to ``LEAST_PAGES``, and
+how long they were. Elements whose texts are the same on all pages of a host are template if the host's pages differ
+widely otherwise: slots with at least ``LEAST_PAGES`` different values must hold ``VARYING_SHARE`` of all text, so copies and near
+copies of a page, however many, prove nothing (an article, a main element or what holds one is never template). Long
+texts are held by their length and digest. Without an article, a main element or a class that says content, all that is
 neither template nor left out is the main text. Elements whose kind or class says menu, header, footer, sidebar,
-notice, advert, form or comments are left out on any page.
+notice, advert, form or comments are left out on any page; inside an article or main element only if every word of a class name does.
+
+Pages may be nested as deeply and as wide as they like: nothing here recurses, and siblings align in one pass that looks ahead
+for the next place where they agree.
 
 Nulls and repeats: null or empty html gives an empty text; a null url belongs to the host of no name;
 repeated rows give equal rows. An empty table gives an empty result.
@@ -24,6 +28,8 @@ import hashlib
 import html as entities
 import json
 import re
+from bisect import bisect_left
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,6 +40,7 @@ from quillon.llm.url_filter import after_scheme, host_of
 
 FOLDS = 16
 LEAST_PAGES = 4
+VARYING_SHARE = 0.25
 LONGEST_SPELLED_TEXT = 160
 GROUP_ELEMENTS = 4
 
@@ -60,6 +67,14 @@ _LEFT_OUT_WORDS = frozenset(
     "popup promo promoted promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe "
     "subscription taboola toc toolbar tooltip topbar warning widget widgets complementary contentinfo".split()
 )
+#: In an article, a class name counts only if it is made of these words and neutral ones.
+_LEFT_OUT_IN_MAIN = frozenset(
+    "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr login masthead menu nav "
+    "navbar navigation newsletter notice notification popup promo promoted promotion respond share sharing sidebar signup social sponsor sponsored subscribe "
+    "subscription toolbar complementary contentinfo".split()
+)
+_NEUTRAL = frozenset("area bar block box button buttons container form group holder icons inner item items js line links list main outer panel post section site slot top unit wrap wrapper".split())
+_MODULUS = (1 << 61) - 1
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -95,8 +110,8 @@ class Page:
                 continue
             attributes = token["attributes"]
             names = [(m[1].lower(), m[2] or m[3] or m[4] or "") for m in _MARKS.finditer(attributes)] if "=" in attributes else []
-            words = {w for _, v in names for w in _SPLIT.split(v.lower()) if w}
-            if tag in _INLINE and not words & _LEFT_OUT_WORDS:
+            says_out = _says_out(names, self.main[open_at[-1]])
+            if tag in _INLINE and not says_out:
                 continue
             if tag not in _INLINE:
                 self._close(tag, open_tags, open_at)
@@ -104,11 +119,11 @@ class Page:
             self.parts.append((parent, None))
             if tag in _EMPTY or attributes.endswith("/"):
                 continue
-            left_out = self.left_out[parent] or tag in _LEFT_OUT or (tag not in ("html", "body", "article", "main") and bool(words & _LEFT_OUT_WORDS))
+            left_out = self.left_out[parent] or tag in _LEFT_OUT or (tag not in ("html", "body", "article", "main") and says_out)
             main = self.main[parent]
             if tag == "header" and not main:
                 left_out = True
-            if tag == "article" and words & _LEFT_OUT_WORDS:
+            if tag == "article" and says_out:
                 left_out = True
             self.kinds.append(tag + "".join(sorted(f".{n}={v.strip()}" for n, v in names if n == "class")))
             self.parents.append(parent)
@@ -142,140 +157,242 @@ class Page:
             self.main[k] = self.main[parent] or (not self.left_out[k] and "=" in self.kinds[k] and bool(words & _MAIN_WORDS))
 
     def tree(self) -> list:
-        """[kind, flags, text, children, own] with repeats folded; flags 1 optional, 2 repeated.
+        """[kind, flags, text, children, values, chars] with repeats folded; flags 1 optional, 2 repeated.
 
-        A text is None if it varies, and [length, digest] if it is long. ``own`` stands for all texts
-        of the element in a page, repeats in their order, and is None if it varies between pages.
+        A text is None if it varies, and [length, digest] if it is long. ``values`` are the digests that the element's texts have
+        on a page, summed over repeats: the smallest LEAST_PAGES of all pages'. ``chars`` is their length over all pages.
         """
-        nodes = [[k, 0, "", [], ""] for k in self.kinds]
-        texts: dict[int, list[str]] = {}
-        for at, part in self.parts:
-            if part is not None and not part.isspace():
-                texts.setdefault(at, []).append(part.strip())
-        for at, found in texts.items():
-            joined = " ".join(found)
-            nodes[at][2] = nodes[at][4] = joined if len(joined) <= LONGEST_SPELLED_TEXT else [len(joined), _digest(joined)]
-        for k in range(len(nodes) - 1, 0, -1):
+        nodes = [[k, 0, "", [], [0], 0] for k in self.kinds]
+        for at, joined in self.texts().items():
+            nodes[at][2] = joined if len(joined) <= LONGEST_SPELLED_TEXT else [len(joined), _digest(joined)]
+            nodes[at][4], nodes[at][5] = [_digest(joined)], len(joined)
+        for k in range(1, len(nodes)):
             if not self.left_out[k]:
-                nodes[self.parents[k]][3].insert(0, nodes[k])
-        for k in range(len(nodes) - 1, -1, -1):
+                nodes[self.parents[k]][3].append(nodes[k])
+        for k in range(len(nodes) - 1, -1, -1):  # children have higher numbers than their parents
             nodes[k][3] = _folded(nodes[k][3])
         return nodes[0]
 
-    def paths(self) -> list[tuple[str, ...]]:
-        out: list[tuple[str, ...]] = [()]
-        for k in range(1, len(self.kinds)):
-            out.append((*out[self.parents[k]], self.kinds[k]))
+    def texts(self) -> dict[int, str]:
+        """Each element's own text."""
+        found: dict[int, list[str]] = {}
+        for at, part in self.parts:
+            if part is not None and not part.isspace():
+                found.setdefault(at, []).append(part.strip())
+        return {at: " ".join(parts) for at, parts in found.items()}
+
+    def sums(self) -> list[int]:
+        """The sum of the digests of all texts in each element, left-out ones aside."""
+        out = [0] * len(self.kinds)
+        for at, text in self.texts().items():
+            out[at] = _digest(text)
+        for k in range(len(out) - 1, 0, -1):
+            if not self.left_out[k]:
+                out[self.parents[k]] = (out[self.parents[k]] + out[k]) % _MODULUS
         return out
 
 
-def _digest(text: str) -> str:
-    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+def _says_out(names: list[tuple[str, str]], in_main: bool) -> bool:
+    for _, value in names:
+        for name in value.split():
+            words = {w for w in _SPLIT.split(name.lower()) if w}
+            if words & (_LEFT_OUT_IN_MAIN if in_main else _LEFT_OUT_WORDS) and (not in_main or words <= _LEFT_OUT_IN_MAIN | _NEUTRAL):
+                return True
+    return False
+
+
+def _digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest()) % _MODULUS
+
+
+def _alike(a: list, b: list) -> bool:
+    """Of one kind, and more than half of the kinds in either are in both."""
+    x, y = {c[0] for c in a[3]}, {c[0] for c in b[3]}
+    return a[0] == b[0] and 2 * len(x & y) >= len(x | y) + bool(x ^ y)
 
 
 def _folded(children: list) -> list:
     """Repeated neighbours as one element, repeated groups of kinds as their first round."""
     out: list = []
     for child in children:
-        if out and out[-1][0] == child[0]:
+        if out and _alike(out[-1], child):
             out[-1] = aligned(out[-1], child, repeated=True)
         else:
             out.append(child)
     for size in range(2, GROUP_ELEMENTS + 1):
-        k = 0
-        while k + 2 * size <= len(out):
-            if [x[0] for x in out[k : k + size]] == [x[0] for x in out[k + size : k + 2 * size]]:
-                out[k : k + 2 * size] = [aligned(a, b, repeated=True) for a, b in zip(out[k : k + size], out[k + size : k + 2 * size], strict=True)]
-            else:
-                k += 1
+        done: list = []
+        for child in out:
+            done.append(child)
+            if len(done) >= 2 * size and all(_alike(done[-k], done[-k - size]) for k in range(1, size + 1)):
+                last = done[-size:]
+                del done[-size:]
+                done[-size:] = [aligned(a, b, repeated=True) for a, b in zip(done[-size:], last, strict=True)]
+        out = done
     return out
 
 
+def _joined(a: list, b: list, one_page: bool) -> list:
+    """The node of two nodes, without children."""
+    values = [(a[4][0] + b[4][0]) % _MODULUS] if one_page else sorted({*a[4], *b[4]})[:LEAST_PAGES]
+    return [a[0], a[1] | b[1], a[2] if a[2] == b[2] else None, [], values, a[5] + b[5]]
+
+
 def aligned(a: list, b: list, repeated: bool = False) -> list:
     """The least wrapper that fits what a and b fit; both are of one kind, and of one page if ``repeated``."""
-    return _aligned(a, b, 2 if repeated else 0, repeated)
-
-
-def _aligned(a: list, b: list, flags: int, one_page: bool) -> list:
-    text = a[2] if a[2] == b[2] else None
-    if one_page:
-        own = [0, _digest(json.dumps([a[4], b[4]]))] if a[4] and b[4] else a[4] or b[4]
-    else:
-        own = a[4] if a[4] == b[4] else None
-    return [a[0], a[1] | b[1] | flags, text, _aligned_children(a[3], b[3], one_page), own]
-
-
-def _aligned_children(a: list, b: list, one_page: bool) -> list:
-    if [x[0] for x in a] == [x[0] for x in b]:
-        return [_aligned(x, y, 0, one_page) for x, y in zip(a, b, strict=True)]
-    n, m = len(a), len(b)
-    common = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            common[i][j] = common[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(common[i + 1][j], common[i][j + 1])
-    out, i, j = [], 0, 0
-    while i < n or j < m:
-        if i < n and j < m and a[i][0] == b[j][0]:
-            out.append(_aligned(a[i], b[j], 0, one_page))
+    root = _joined(a, b, repeated)
+    root[1] |= 2 if repeated else 0
+    todo = [(a, b, root)]
+    while todo:
+        x, y, node = todo.pop()
+        for p, q in _matched(x[3], y[3]):
+            if p is not None and q is not None:
+                child = _joined(p, q, repeated)
+                todo.append((p, q, child))
+            else:
+                only = q if p is None else p
+                child = [only[0], only[1] | 1, *only[2:]]
+            node[3].append(child)
+    return root
+
+
+def _matched(a: list, b: list):
+    """Pairs of children of one kind in order, and single ones where the lists disagree.
+
+    At a mismatch, the nearer of the next place of a's kind in b and of b's kind in a tells which list has something of its own.
+    """
+    places: tuple[dict[str, list[int]], dict[str, list[int]]] = ({}, {})
+    if [x[0] for x in a] != [x[0] for x in b]:
+        for side, nodes in zip(places, (a, b), strict=True):
+            for k, node in enumerate(nodes):
+                side.setdefault(node[0], []).append(k)
+
+    def ahead(side: int, kind: str, at: int) -> float:
+        own = places[side].get(kind, ())
+        k = bisect_left(own, at)
+        return own[k] - at if k < len(own) else float("inf")
+
+    i = j = 0
+    while i < len(a) or j < len(b):
+        if i == len(a) or j == len(b):
+            yield (a[i], None) if j == len(b) else (None, b[j])
+            i, j = (i + 1, j) if j == len(b) else (i, j + 1)
+        elif a[i][0] == b[j][0]:
+            yield a[i], b[j]
             i, j = i + 1, j + 1
-        elif j == m or (i < n and common[i + 1][j] >= common[i][j + 1]):
-            out.append([a[i][0], a[i][1] | 1, *a[i][2:]])
+        elif (ahead(0, b[j][0], i), a[i][0]) < (ahead(1, a[i][0], j), b[j][0]):  # a has more here; ties by name
+            yield a[i], None
             i += 1
         else:
-            out.append([b[j][0], b[j][1] | 1, *b[j][2:]])
+            yield None, b[j]
             j += 1
-    return out
 
 
-def expression(wrapper: list) -> str:
-    """The wrapper as a regular expression without unions: #text is a slot, #same a long text, ? optional, + repeated."""
-    kind, flags, text, children, _ = wrapper
-    inner = "".join(expression(c) for c in children)
-    slot = "#text" if text is None else entities.escape(text) if isinstance(text, str) else f"#same{text[0]}"
-    body = f"<{kind}>{slot}{inner}</{kind.split('.')[0]}>" if kind else inner
-    return f"({body})" + ("*" if flags == 3 else "+" if flags == 2 else "?") if flags else body
-
-
-def rules_of(wrapper: list, pages: int) -> list[list[str]]:
-    """Paths of template elements, from a host's wrapper."""
-    template: list[list[str]] = []
-
-    def varies(node: list) -> bool:
-        return node[4] is None or any(varies(c) for c in node[3])
-
-    def uniform(node: list) -> bool:
-        return node[2] is not None and all(uniform(c) for c in node[3])
-
-    def walk(node: list, path: list[str], repeated: bool) -> None:
-        kinds = [c[0] for c in node[3]]
-        for child in node[3]:
-            own = [*path, child[0]]
-            siblings = kinds.count(child[0]) == 1
-            if not varies(child):
-                # In a repeated element, a path stands for all rounds, so all must have one text.
-                if child[1] == 0 and siblings and (child[4] or child[3]) and varies(node) and (not repeated or uniform(child)):
-                    template.append(own)
-            else:
-                walk(child, own, repeated or bool(child[1] & 2))
+def flat(wrapper: list) -> list[list]:
+    """The nodes in page order, each with its depth in place of its children."""
+    out, todo = [], [(wrapper, 0)]
+    while todo:
+        node, depth = todo.pop()
+        out.append([depth, *node[:3], *node[4:]])
+        todo.extend((c, depth + 1) for c in reversed(node[3]))
+    return out
 
-    if pages >= LEAST_PAGES:
-        walk(wrapper, [], False)
 
-    return template
+def unflat(rows: list[list]) -> list:
+    path: list[list] = []
+    for depth, kind, flags, text, values, chars in rows:
+        node = [kind, flags, text, [], values, chars]
+        del path[depth:]
+        if path:
+            path[-1][3].append(node)
+        path.append(node)
+    return path[0]
 
 
-def main_text(text: str, template: frozenset[tuple[str, ...]] = frozenset()) -> str:
-    """The main text of one page, by the rules of its host's wrapper."""
+def expression(wrapper: list) -> str:
+    """The wrapper as a regular expression without unions: #text is a slot, #same a long text, ? optional, + repeated."""
+    out: list[str] = []
+    todo: list = [wrapper]
+    while todo:
+        node = todo.pop()
+        if isinstance(node, str):
+            out.append(node)
+            continue
+        kind, flags, text, children = node[:4]
+        slot = "#text" if text is None else entities.escape(text) if isinstance(text, str) else f"#same{text[0]}"
+        end = (f"</{kind.split('.')[0]}>" if kind else "") + ({0: "", 1: ")?", 2: ")+", 3: ")*"}[flags])
+        out.append(("(" if flags else "") + (f"<{kind}>{slot}" if kind else ""))
+        todo.append(end)
+        todo.extend(reversed(children))
+    return "".join(out)
+
+
+def rules_of(wrapper: list, pages: int) -> list[list]:
+    """The template elements of a host's wrapper, with what leads to them: [depth, kind, digest of its texts or None] in page order."""
+    if pages < LEAST_PAGES:
+        return []
+    nodes, parents, todo = [], [], [(wrapper, -1)]
+    while todo:
+        node, parent = todo.pop()
+        nodes.append(node)
+        parents.append(parent)
+        at = len(nodes) - 1
+        todo.extend((c, at) for c in reversed(node[3]))
+    if sum(n[5] for n in nodes if len(n[4]) >= LEAST_PAGES) < VARYING_SHARE * sum(n[5] for n in nodes):
+        return []
+    varies, uniform, total = [len(n[4]) > 1 for n in nodes], [n[2] is not None for n in nodes], [n[4][0] for n in nodes]
+    spelled = [0 if n[2] is None or n[2] == "" else _digest(n[2]) if isinstance(n[2], str) else n[2][1] for n in nodes]
+    for k in range(len(nodes) - 1, 0, -1):
+        parent = parents[k]
+        # What some pages lack counts as a difference.
+        varies[parent] |= varies[k] or bool(nodes[k][1] & 1 and total[k])
+        uniform[parent] &= uniform[k]
+        total[parent] = (total[parent] + total[k]) % _MODULUS
+        spelled[parent] = (spelled[parent] + spelled[k]) % _MODULUS
+    # An element stands for all its repeats, so in one all must have one text.
+    repeated, open_, depth = [False] * len(nodes), [True] * len(nodes), [0] * len(nodes)
+    template: list[int | None] = [None] * len(nodes)
+    for k in range(1, len(nodes)):
+        parent = parents[k]
+        depth[k], open_[k] = depth[parent] + 1, open_[parent] and varies[k]
+        repeated[k] = repeated[parent] or bool(nodes[k][1] & 2)
+        if open_[parent] and not varies[k] and not nodes[k][1] & 1 and total[k] and (not repeated[k] or uniform[k]):
+            template[k] = spelled[k] if repeated[k] else total[k]
+    leads = [t is not None for t in template]
+    for k in range(len(nodes) - 1, 0, -1):
+        leads[parents[k]] |= leads[k]
+    return [[depth[k], nodes[k][0], template[k]] for k in range(1, len(nodes)) if leads[k]]
+
+
+def template_tree(rules: list[list]) -> dict:
+    """Rules as nested dicts: kind to (digests of template elements, dict of what is inside)."""
+    root: dict = {}
+    path = [root]
+    for depth, kind, template in rules:
+        del path[depth:]
+        own = path[-1].setdefault(kind, (set(), {}))
+        if template is not None:
+            own[0].add(template)
+        path.append(own[1])
+    return root
+
+
+def main_text(text: str, template: dict | None = None) -> str:
+    """The main text of one page, by the rules of its host's wrapper (``template_tree``)."""
     page = Page(text)
-    paths = page.paths()
-    keep = [False] * len(page.kinds)
+    n = len(page.kinds)
     marked = any(page.main)
-    gone = [False] * len(page.kinds)
     holds = [m and (not page.main[page.parents[k]] or page.kinds[k].split(".")[0] in ("article", "main")) for k, m in enumerate(page.main)]
-    for k in range(len(paths) - 1, 0, -1):
+    for k in range(n - 1, 0, -1):
         holds[page.parents[k]] |= holds[k]
-    for k, path in enumerate(paths):
-        gone[k] = k > 0 and (gone[page.parents[k]] or (path in template and not holds[k]))
+    keep, gone, inside = [False] * n, [False] * n, [None] * n
+    inside[0] = template or None
+    sums = page.sums() if template else []
+    for k in range(n):
+        if k:
+            parent = page.parents[k]
+            found = inside[parent].get(page.kinds[k]) if inside[parent] else None
+            inside[k] = found[1] if found else None
+            gone[k] = gone[parent] or bool(found and sums[k] in found[0] and not holds[k])
         keep[k] = (page.main[k] or not marked) and not page.left_out[k] and not gone[k]
     out = []
     for at, part in page.parts:
@@ -291,14 +408,14 @@ def main_text(text: str, template: frozenset[tuple[str, ...]] = frozenset()) ->
 def _fold(wrappers: list[tuple[str, int]]) -> tuple[str, int]:
     total, pages = None, 0
     for text, n in sorted(wrappers):
-        wrapper = json.loads(text)
+        wrapper = unflat(json.loads(text))
         total = wrapper if total is None else aligned(total, wrapper)
         pages += n
-    return json.dumps(total, ensure_ascii=False), pages
+    return json.dumps(flat(total), ensure_ascii=False), pages
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, wrapper, pages): the wrapper of each host's pages, as JSON."""
+    """(host, wrapper, pages): the wrapper of each host's pages, as the JSON of ``flat``."""
 
     def infer(batches):
         for batch in batches:
@@ -313,7 +430,7 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(list(found), pa.string()),
-                    pa.array([json.dumps(w, ensure_ascii=False) for w, _ in found.values()], pa.string()),
+                    pa.array([json.dumps(flat(w), ensure_ascii=False) for w, _ in found.values()], pa.string()),
                     pa.array([n for _, n in found.values()], pa.int64()),
                 ],
                 names=["host", "wrapper", "pages"],
@@ -342,7 +459,7 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     def decide(batches):
         for batch in batches:
-            rules = [rules_of(json.loads(w), n) for w, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            rules = [rules_of(unflat(json.loads(w)), n) for w, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([json.dumps(r) for r in rules], pa.string())], names=["_host", "rules"])
 
     rules = share(wrappers(pages, url_col, html_col).mapInArrow(decide, "_host string, rules string")).df
@@ -352,15 +469,15 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     )
 
     def extract(batches):
-        known: dict[str, frozenset] = {}
+        known: dict[str, dict] = {}
         for batch in batches:
             texts = []
             for text, rule in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 if rule is not None and rule not in known:
                     if len(known) > 4096:
                         known.clear()
-                    known[rule] = frozenset(tuple(p) for p in json.loads(rule))
-                texts.append(main_text(text, known.get(rule, frozenset())) if text else "")
+                    known[rule] = template_tree(json.loads(rule))
+                texts.append(main_text(text, known.get(rule)) if text else "")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["id", "url", "text", "n_chars"],

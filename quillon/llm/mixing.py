@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillon.llm.kernels import count_words, row_slices, span_hash, prefix_hash, text_buffer, words
-from quillon.llm.shared import Shared, running_total, share
+from quillon.llm.shared import running_total, share
+from quillon.session import Step
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE_OF_ALL = 1.5
@@ -65,7 +66,7 @@ def spread(sizes: list[int], weights: list[float], total: float, most: float = M
     return out
 
 
-def measured(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> Shared:
+def measured(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> Step:
     """(seq, id, source, size, print, digest) of each document, as a table in the shared folder."""
 
     def measure(batches):

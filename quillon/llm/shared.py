@@ -2,48 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillon.session import Step
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-_LOCAL: dict[str, str] = {}
 #: Keys (a few numbers each) are broadcast up to this many rows, and joined by a shuffle beyond.
 BROADCAST_ROWS = 1_000_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a local one where it is unset (tests on one machine)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    key = spark.sparkContext.applicationId
-    if key not in _LOCAL:
-        _LOCAL[key] = "file://" + tempfile.mkdtemp(prefix="quillon-")
-    return _LOCAL[key]
-
-
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
-
-
-class Shared:
-    """A written table: ``df`` reads it, ``drop()`` deletes it once nothing needs it any more."""
-
-    def __init__(self, spark: SparkSession, path: str, schema) -> None:
-        self.spark, self.path = spark, path
-        self.df = spark.read.schema(schema).parquet(path)
-
-    def drop(self) -> None:
-        files, place = _file_system(self.spark, self.path)
-        files.delete(place, True)
-
-
 @contextmanager
 def _cleaned(spark: SparkSession):
     before = spark.conf.get(_CLEANUP)
@@ -54,22 +24,17 @@ def _cleaned(spark: SparkSession):
         spark.conf.set(_CLEANUP, before)
 
 
-def share(df: DataFrame) -> Shared:
+def share(df: DataFrame) -> Step:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts the lineage and survives lost executors. Spark removes the
     shuffle files of the finished write, and the table goes with the driver.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    with _cleaned(spark):
-        df.write.parquet(path)
-    files, place = _file_system(spark, path)
-    files.deleteOnExit(place)
-    return Shared(spark, path, df.schema)
+    with _cleaned(df.sparkSession):
+        return Step(df, "table")
 
 
-def matched(rows: DataFrame, keys: Shared, on, how: str) -> DataFrame:
+def matched(rows: DataFrame, keys: Step, on, how: str) -> DataFrame:
     """``rows`` joined with a written table of keys, which is broadcast if its size allows."""
     few = keys.df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     return rows.join(F.broadcast(keys.df) if few else keys.df, on, how)

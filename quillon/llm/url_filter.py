@@ -22,7 +22,8 @@ from itertools import islice
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.shared import Shared, share
+from quillon.llm.shared import share
+from quillon.session import Step
 
 #: (verdict, host, path)
 RULES = (
@@ -96,7 +97,7 @@ def _family(hosts: DataFrame) -> DataFrame:
     return up.unionByName(up.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
 
 
-def _rounds(edges: DataFrame, seeds: DataFrame, damping: float) -> Iterator[Shared]:
+def _rounds(edges: DataFrame, seeds: DataFrame, damping: float) -> Iterator[Step]:
     """(kind, host, score, before) after 0, 1, 2... rounds; it ends where there is nothing to hand on."""
     forth = edges.select(F.lit("trust").alias("kind"), "src", "dst", "weight")
     back = edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")

@@ -187,13 +187,54 @@ class TestHtml:
             assert got[k] == html_wrapper.main_text(html)
             assert got[k].startswith(f"Head {k} Lead {k} Body {k}" if k < 5 or k == 20 else f"Only {k} short {k} Rest {k}")
 
+    def test_near_copies_prove_no_template(self, spark):
+        page = "<body><article><h1>Headline</h1><p>One paragraph that all of them have.</p><p class='date'>Seen {k}</p></article></body>"
+        plain = "<body><div><h1>Headline</h1><p>One paragraph that all of them have.</p><div>Seen {k}</div></div></body>"
+        two = "<body><div><h1>Two pages</h1><div>{k}</div></div></body>"
+        rows = [(k, "http://a.org/", page.format(k=k)) for k in range(5)] + [(10 + k, "http://b.org/", plain.format(k=k)) for k in range(5)]
+        rows += [(20 + k, "http://c.org/", two.format(k=("this story is told " if k % 2 else "that one is also told ") * 9)) for k in range(8)]
+        got = {r.page_id: r.text for r in html_wrapper.extracted(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)).collect()}
+        for k, _, html in rows:
+            assert got[k] == html_wrapper.main_text(html)
+            assert got[k].startswith(("Headline One paragraph that all of them have. Seen", "Two pages th"))
+
+    def test_only_the_alignment_finds_the_text(self, spark):
+        page = (
+            "<body><table><tr><td>Daily Times of the town</td></tr></table><div><div><b>Read also what others read today</b></div><h1>{t}</h1><div><p>{a}</p>"
+            "<p>{b}</p></div></div><div><div>Written and made in a town, all rights with us</div></div></body>"
+        )
+        rows, want = [], {}
+        for k in range(6):
+            t, a, b = f"Title {k}", f"First {k} " + f"word{k} " * 12, f"Second {k} " + f"term{k * 7} " * 15
+            rows.append((k, "http://t.org/", page.format(t=t, a=a, b=b)))
+            want[k] = " ".join(f"{t} {a} {b}".split())
+        assert all(html_wrapper.main_text(html) != want[k] for k, _, html in rows)
+        got = {r.page_id: r.text for r in html_wrapper.extracted(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+        assert got == want
+
+    def test_deep_and_wide_pages(self):
+        deep = "<div>" * 10_000 + "text" + "</div>" * 10_000
+        wide = "<body>" + "".join(f"<p>a{k}</p><h2>b{k}</h2>" if k % 3 else f"<ul><li>c{k}</ul>" for k in range(9_000)) + "</body>"
+        for html in (deep, wide):
+            trees = [html_wrapper.Page(html.replace("text", f"text {k}").replace("a1<", f"z{k}<")).tree() for k in range(4)]
+            wrapper = trees[0]
+            for tree in trees[1:]:
+                wrapper = html_wrapper.unflat(json.loads(json.dumps(html_wrapper.flat(html_wrapper.aligned(wrapper, tree)))))
+            assert html_wrapper.expression(wrapper)
+            rules = html_wrapper.template_tree(html_wrapper.rules_of(wrapper, 4))
+            assert html_wrapper.main_text(html, rules)
+
+    def test_class_words_in_an_article(self):
+        html = "<article><section class='related-work'>Related work.</section><div class='search-results'>Found.</div><div class='share-buttons'>Share</div><p class='ad'>Buy</p></article>"
+        assert html_wrapper.main_text(html) == "Related work. Found."
+
     def test_many_partial_wrappers_fold_in_shares(self, spark, monkeypatch):
         monkeypatch.setattr(html_wrapper, "FOLDS", 2)
         rows = [(k, "http://h.org/", f"<div><p>a{k}</p>{'<ul><li>x</ul>' if k % 3 else ''}</div>") for k in range(12)]
         df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(12)
         (row,) = html_wrapper.wrappers(df).collect()
         assert row.pages == 12
-        assert html_wrapper.expression(json.loads(row.wrapper)) == "<div><p>#text</p>(<ul><li>x</li></ul>)?</div>"
+        assert html_wrapper.expression(html_wrapper.unflat(json.loads(row.wrapper))) == "<div><p>#text</p>(<ul><li>x</li></ul>)?</div>"
 
     def test_empty(self, spark):
         assert html_wrapper.extracted(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
