@@ -3,71 +3,44 @@
 A source's documents stand on a line in a fixed shuffled order (md5 of the
 identifier) and the line is cut into blocks of ``BLOCK_WORDS`` words. Slot i of the
 mix takes the golden-ratio point frac(i * phi), in 64-bit integers; the cumulative
-target weights map the point to a source, and the slot's rank among the source's slots is the
-block that it takes. Past the line's end a source starts its second pass. A
+target weights map the point to a source, and the slot's rank among the source's slots tells the
+block that it takes, by a permutation of the source's blocks within a pass. Past the line's end a source starts its second pass. A
 source's slots end at its target, so its words meet it to the word, and
 any stretch of the schedule is near the target shares.
 
+Sources are ranked, weighed and given their targets and stretches of the schedule by running totals in Spark, however many
+there are; the driver sees sums over all of them.
+
 Nulls and repeats: a null or empty text has size 0 and is never taken; null
-sources form one source, ordered last; null identifiers shuffle as empty
-ones; equal identifiers are ordered by size. An empty table gives an empty result.
+sources form one source, ordered last, and other types go by their text; null identifiers shuffle as empty
+ones; equal identifiers are ordered by size; repeated rows are documents of their own. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillon.llm.kernels import count_words, row_slices, span_hash, prefix_hash, text_buffer, words
-from quillon.llm.shared import running_total, share
+from quillon.llm.kernels import count_words, prefix_hash, row_slices, span_hash, text_buffer, words
+from quillon.llm.shared import matched, running_total, share
 from quillon.session import Step
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE_OF_ALL = 1.5
 MOST_PASSES = 2
 BLOCK_WORDS = 1024
-#: A mix of more sources than this is refused: targets are worked out on the driver.
-MOST_SOURCES = 1_000_000
 _GOLDEN = 0x9E3779B97F4A7C15
 _CHUNK = 8192
+_CIRCLE = 1 << 62
+_RUN = 1 << 16
 
 
-@dataclass(frozen=True)
-class Source:
-    name: str | None
-    rows: int
-    size: int
-    target: float
-    words: int
-
-
-def spread(sizes: list[int], weights: list[float], total: float, most: float = MOST_PASSES) -> list[float]:
-    """Shares of ``total`` by weight, none above ``most`` times its size; the excess is shared again by weight.
-
-    The level at which a source fills up is most * size / weight: sources fill in that
-    order, and the rest share what is left.
-    """
-    order = sorted(range(len(sizes)), key=lambda i: (most * sizes[i] / weights[i], i))
-    left, open_weight, out = float(total), float(sum(weights)), [0.0] * len(sizes)
-    for k, i in enumerate(order):
-        if most * sizes[i] * open_weight > left * weights[i]:
-            for j in order[k:]:
-                out[j] = left / open_weight * weights[j]
-            break
-        out[i] = float(most * sizes[i])
-        left -= out[i]
-        open_weight -= weights[i]
-    return out
-
-
-def measured(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> Step:
-    """(seq, id, source, size, print, digest) of each document, as a table in the shared folder."""
+def measured(docs: DataFrame, id_col: str, source_col: str, text_col: str, seq: Column | None = None) -> Step:
+    """(seq, id, source, size, print, digest) of each document, as a table in the shared folder; ``seq`` tells the rows apart."""
 
     def measure(batches):
         for batch in batches:
@@ -79,174 +52,184 @@ def measured(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> St
                 prints[a:b] = span_hash(sums, own[:-1], own[1:]).view(np.int64)
             sizes = pa.array(count_words(batch.column(2)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), sizes, pa.array(prints)], names=["id", "source", "size", "print"]
+                [batch.column(0), batch.column(1), sizes, pa.array(prints), batch.column(3)], names=["id", "source", "size", "print", "seq"]
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    read = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
+    read = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"), (F.monotonically_increasing_id() if seq is None else seq).alias("seq"))
     return share(
-        read.mapInArrow(measure, f"id {kind}, source string, size long, print long")
-        .withColumn("seq", F.monotonically_increasing_id())
+        read.mapInArrow(measure, f"id {kind}, source string, size long, print long, seq long")
         .withColumn("digest", F.unhex(F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")))))
     )
 
 
-def plan_sources(rows: DataFrame, weights=WEIGHTS, share_of_all: float = SHARE_OF_ALL) -> list[Source]:
-    """Totals and targets of the sources, in code point order with null last."""
-    found = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).limit(MOST_SOURCES + 1).collect()
-    if len(found) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
-    sizes = [int(r["size"]) for r in found]
-    own = [float(weights[i % len(weights)]) for i in range(len(found))]
-    targets = spread(sizes, own, share_of_all * sum(sizes))
-    return [Source(r["source"], r["n"], s, t, math.floor(t)) for r, s, t in zip(found, sizes, targets, strict=True)]
-
-
-def schedule(spark: SparkSession, sources: list[Source], block: int) -> DataFrame:
-    """(slot, s, rank): which source each slot of the mix takes from, and its how manieth block."""
-    quotas = [-(-x.words // block) for x in sources]
-    total, n = sum(quotas), len(sources)
-    shares = np.cumsum(np.array(quotas, dtype=np.float64) / max(total, 1))
-    bounds = np.minimum(shares * 2.0**64, 2.0**64 - 2048).astype(np.uint64)
-    last = max((i for i, q in enumerate(quotas) if q), default=0)
+def _before(rows: DataFrame, order: list[Column], **amounts: Column) -> DataFrame:
+    """Adds ``place``, which grows in ``order``, and under each name the sum of its amount over the rows before."""
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({f"_{n}": a for n, a in amounts.items()})
+    placed = share(placed.withColumn("place", F.monotonically_increasing_id())).df.withColumn("_part", F.shiftright("place", 33))
+    sums = placed.groupBy("_part").agg(*[F.sum(f"_{n}").alias(f"_sum_{n}") for n in amounts])
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    sums = sums.select("_part", *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_from_{n}") for n in amounts])
+    inside = Window.partitionBy("_part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    out = placed.withColumns({n: F.coalesce(F.sum(f"_{n}").over(inside), F.lit(0)) for n in amounts}).join(F.broadcast(sums), "_part")
+    return out.withColumns({n: F.col(n) + F.col(f"_from_{n}") for n in amounts}).drop("_part", *[f"_{n}" for n in amounts], *[f"_from_{n}" for n in amounts])
+
+
+def _steps(batches):
+    """Adds to each source multipliers that permute its blocks of each pass: about 0.618 of the count, and coprime to it."""
+    for batch in batches:
+        out = []
+        for name in ("first_blocks", "more_blocks"):
+            found = []
+            for n in batch.column(batch.schema.get_field_index(name)).to_pylist():
+                step = min(int(0.618 * n), 1 << 28) | 1
+                while math.gcd(step, max(n, 1)) != 1:
+                    step += 2
+                found.append(step)
+            out.append(pa.array(found, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*batch.columns, *out], names=[*batch.schema.names, "first_step", "more_step"])
+
+
+def plan_sources(rows: DataFrame, weights=WEIGHTS, share_of_all: float = SHARE_OF_ALL, most: int = MOST_PASSES, block: int = BLOCK_WORDS) -> Step:
+    """Each source's number s (in code point order, null last), name, rows, source_size, target, words and quota of blocks.
+
+    Targets are shares of ``share_of_all`` of all words by weight, none above ``most`` times its source's size; the excess is
+    shared again by weight. The level at which a source fills up is most * size / weight: sources fill in
+    that order, and the rest share what is left. ``lo`` and ``hi`` are its stretch of the circle of ``_CIRCLE`` points.
+    """
+    by_name = [F.col("name").isNull(), F.col("name")]
+    found = rows.groupBy(F.col("source").alias("name")).agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("source_size"))
+    numbered = _before(found, by_name, s=F.lit(1)).drop("place")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("s") % len(weights) + 1).cast("int"))
+    numbered = numbered.withColumn("weight", weight).withColumn("full", most * F.col("source_size"))
+    levels = share(_before(numbered, [F.col("full") / F.col("weight"), *by_name], filled=F.col("full"), used=F.col("weight"))).df
+    sums = levels.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    left = F.lit(share_of_all * float(sums["size"] or 0)) - F.col("filled")
+    open_weight = F.lit(float(sums["weight"] or 0)) - F.col("used")
+    short = levels.where(F.col("full") * open_weight > left * F.col("weight")).agg(F.min(F.struct("place", (left / open_weight).alias("level"))).alias("m")).first()["m"]
+    target = F.col("full").cast("double")
+    if short is not None:
+        target = F.when(F.col("place") >= short["place"], F.lit(short["level"]) * F.col("weight")).otherwise(target)
+    sized = levels.withColumn("target", target).withColumn("words", F.floor("target"))
+    sized = sized.withColumn("quota", F.expr(f"(words + {block - 1}) div {block}")).select("s", "name", "rows", "source_size", "target", "words", "quota")
+    circled = _before(sized, [F.col("s")], begin=F.col("quota")).drop("place")
+    total = max(1, circled.agg(F.sum("quota")).first()[0] or 0)
+    point = lambda n: F.when(n == total, F.lit(_CIRCLE)).otherwise(F.floor(n / float(total) * float(_CIRCLE))).cast("long")
+    circled = circled.withColumn("lo", point(F.col("begin"))).withColumn("hi", point(F.col("begin") + F.col("quota"))).drop("begin")
+    circled = circled.withColumn("first_blocks", F.least("quota", F.expr(f"source_size div {block}"))).withColumn("more_blocks", F.col("quota") - F.col("first_blocks"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in circled.schema.fields)
+    return share(circled.mapInArrow(_steps, schema + ", first_step long, more_step long"))
+
+
+def schedule(sources: Step) -> DataFrame:
+    """(slot, s, block): which source each slot of the mix takes from, and which of its blocks."""
+    spark = sources.spark
+    plan = sources.df.where("quota > 0")
+    total, n = (x or 0 for x in sources.df.agg(F.sum("quota"), F.count(F.lit(1))).first())
+    width = -(-_CIRCLE // max(1, total))  # about one slot's point falls into each stretch of this width
 
     def draw(batches):
         for batch in batches:
-            slots = batch.column(0).to_numpy()
-            points = slots.astype(np.uint64) * np.uint64(_GOLDEN)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.minimum(np.searchsorted(bounds, points, side="right"), last).astype(np.int32))],
-                names=["slot", "s"],
-            )
-
-    drawn = spark.range(total).select(F.col("id").alias("slot")).mapInArrow(draw, "slot long, s int")
-    drawn = drawn.withColumn("chunk", F.expr(f"slot div {_CHUNK}"))
+            points = (batch.column(0).to_numpy().astype(np.uint64) * np.uint64(_GOLDEN)) >> np.uint64(2)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(points.astype(np.int64))], names=["slot", "point"])
+
+    points = spark.range(total).select(F.col("id").alias("slot")).mapInArrow(draw, "slot long, point long").withColumn("cell", F.expr(f"point div {width}L"))
+    cells = plan.select("s", "lo", "hi", F.expr(f"lo div {width}L").alias("a"), F.expr(f"(hi - 1) div {width}L").alias("b"))
+    runs = cells.select("s", "lo", "hi", "b", F.explode(F.sequence("a", "b", F.lit(_RUN).cast("long"))).alias("a"))
+    cells = runs.select("s", "lo", "hi", F.explode(F.sequence("a", F.least("b", F.col("a") + _RUN - 1))).alias("cell"))
+    drawn = points.join(cells, "cell").where("point >= lo AND point < hi").select("slot", "s", F.expr(f"slot div {_CHUNK}").alias("chunk"))
+    drawn = share(drawn).df
     counts = drawn.groupBy("s", "chunk").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("s").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("s", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     inside = Window.partitionBy("s", "chunk").orderBy("slot")
-    table = spark.createDataFrame([(i, q) for i, q in enumerate(quotas)], "s int, quota long")
-    ranked = (
-        drawn.withColumn("k", F.row_number().over(inside))
-        .join(starts, ["s", "chunk"])
-        .select("slot", "s", (F.col("start") + F.col("k") - 1).alias("rank"))
-        .join(table, "s")
-        .where("rank < quota")
-        .select("slot", "s", "rank")
-    )
+    ranked = drawn.withColumn("k", F.row_number().over(inside)).join(starts, ["s", "chunk"]).select("slot", "s", (F.col("start") + F.col("k") - 1).alias("rank"))
     # Points are off a share by a few slots at most; what a source still lacks comes last.
     short = (
-        table.join(counts.groupBy("s").agg(F.sum("n").alias("got")), "s", "left")
+        plan.select("s", "quota").join(counts.groupBy("s").agg(F.sum("n").alias("got")), "s", "left")
         .select("s", "quota", F.coalesce("got", F.lit(0)).alias("got"))
         .where("got < quota")
         .select("s", F.explode(F.sequence(F.col("got"), F.col("quota") - 1)).alias("rank"))
         .select((F.lit(total) + F.col("rank") * n + F.col("s")).alias("slot"), "s", "rank")
     )
-    return ranked.unionByName(short)
+    own = matched(ranked.unionByName(short).withColumnRenamed("s", "_s"), sources, F.col("_s") == F.col("s"), "inner").where("rank < quota")
+    first, later = F.col("rank") < F.col("first_blocks"), F.col("rank") - F.col("first_blocks")
+    block = F.when(first, F.col("rank") * F.col("first_step") % F.col("first_blocks")).otherwise(F.col("first_blocks") + later * F.col("more_step") % F.col("more_blocks"))
+    return own.select("slot", "s", block.alias("block"))
 
 
-def _source_table(spark: SparkSession, sources: list[Source]) -> DataFrame:
-    return spark.createDataFrame(
-        [(i, x.name, x.size, x.target, x.words) for i, x in enumerate(sources)],
-        "s int, name string, source_size long, target double, words long",
-    )
+def _same_source() -> Column:
+    return F.col("source").eqNullSafe(F.col("name"))
 
 
-def mix(rows: DataFrame, sources: list[Source], block: int = BLOCK_WORDS) -> DataFrame:
+def mix(rows: DataFrame, sources: Step, block: int = BLOCK_WORDS) -> DataFrame:
     """The mix: (slot, seq, s, pass, first_word, n_words), one row for each stretch of a document in a slot."""
-    spark = rows.sparkSession
+    largest = sources.df.agg(F.max("rows")).first()[0] or 0
     placed = running_total(
         rows.where("size > 0").select("seq", "source", "size", "digest", "print"),
-        ["source"], ["digest", "size", "print"], "digest", F.col("size"), max((x.rows for x in sources), default=0), "start",
+        ["source"], ["digest", "size", "print", "seq"], "digest", F.col("size"), largest, "start",
     )
-    placed = placed.join(_source_table(spark, sources), F.col("source").eqNullSafe(F.col("name"))).drop("digest", "print")
+    placed = matched(placed, sources, _same_source(), "inner").select("seq", "s", "size", "start", "source_size", "words")
     passes = F.explode(F.sequence(F.lit(0), F.lit(MOST_PASSES - 1)))
     at = placed.withColumn("pass", passes).withColumn("at", F.col("start") + F.col("pass") * F.col("source_size"))
     at = at.where("at < words").withColumn("to", F.least(F.col("at") + F.col("size"), F.col("words")))
-    pieces = at.withColumn("rank", F.explode(F.expr(f"sequence(at div {block}, (to - 1) div {block})")))
+    pieces = at.withColumn("block", F.explode(F.expr(f"sequence(at div {block}, (to - 1) div {block})")))
     pieces = pieces.select(
-        "seq", "s", "pass", "rank",
-        (F.greatest(F.col("at"), F.col("rank") * block) - F.col("at")).alias("first_word"),
-        (F.least(F.col("to"), (F.col("rank") + 1) * block) - F.greatest(F.col("at"), F.col("rank") * block)).alias("n_words"),
+        "seq", "s", "pass", "block",
+        (F.greatest(F.col("at"), F.col("block") * block) - F.col("at")).alias("first_word"),
+        (F.least(F.col("to"), (F.col("block") + 1) * block) - F.greatest(F.col("at"), F.col("block") * block)).alias("n_words"),
     )
-    return pieces.join(schedule(spark, sources, block), ["s", "rank"]).select("slot", "seq", "s", "pass", "first_word", "n_words")
+    return pieces.join(schedule(sources), ["s", "block"]).select("slot", "seq", "s", "pass", "first_word", "n_words")
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", block: int = BLOCK_WORDS) -> DataFrame:
-    """One row a document: id, size, source_size, target and taken, the words the mix takes."""
+    """One row a document: id, size, source_size, target, taken (the words the mix takes), first_slot and n_slots of its stretches."""
     rows = measured(docs, id_col, source_col, text_col).df
-    sources = plan_sources(rows)
-    taken = mix(rows, sources, block).groupBy("seq").agg(F.sum("n_words").alias("taken"))
-    table = _source_table(rows.sparkSession, sources)
+    sources = plan_sources(rows, block=block)
+    taken = mix(rows, sources, block).groupBy("seq").agg(F.sum("n_words").alias("taken"), F.min("slot").alias("first_slot"), F.count(F.lit(1)).alias("n_slots"))
     return (
-        rows.join(table, F.col("source").eqNullSafe(F.col("name")))
-        .join(taken, "seq", "left")
-        .select(F.col("id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+        matched(rows, sources, _same_source(), "inner").join(taken, "seq", "left")
+        .select(F.col("id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), "first_slot", F.coalesce("n_slots", F.lit(0)).alias("n_slots"))
     )
 
 
 def mixed_corpus(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", block: int = BLOCK_WORDS) -> DataFrame:
-    """The documents of the mix, with the columns of ``docs``: a row for each pass over a document.
+    """The documents of the mix: the columns of ``docs``, then mix_pass and mix_slot, a row for each pass over a document.
 
-    A source takes its documents in their fixed order, so its last document of a pass tells for every
-    row, where it stands, whether the pass takes it: texts are not moved. The document at which a source's target ends
-    gives its first words only; ``n_chars``, if there, then follows the text. Rows with the same
-    identifier and text count as one.
+    mix_slot is the first slot that holds words of the row, and rows come in its order. The document at which a source's target ends
+    gives its first words only; ``n_chars``, if there, then follows the text.
     """
-    rows = measured(docs, id_col, source_col, text_col).df
-    keys = ["id", "print", "source"]
-    if not rows.groupBy(*keys).count().where("count > 1").isEmpty():
-        docs = docs.dropDuplicates([id_col, source_col, text_col])
-        rows = rows.dropDuplicates(keys)
-    sources = plan_sources(rows)
-    taken = mix(rows, sources, block).groupBy("seq", "s", "pass").agg(F.sum("n_words").alias("n"))
-    place = F.struct("digest", "size", "print")
-    ends = taken.join(rows.select("seq", "digest", "size", "print"), "seq").groupBy("s", "pass").agg(F.max(place).alias("last"), F.max_by("n", place).alias("n"))
-    limits: dict[str | None, list] = {}  # at most MOST_PASSES entries a source
-    for r in ends.collect():
-        limits.setdefault(sources[r["s"]].name, []).append(((bytes(r["last"]["digest"]), r["last"]["size"], r["last"]["print"]), r["n"]))
-    columns, schema = docs.columns, docs.schema
-    at_id, at_source, at_text = (columns.index(c) for c in (id_col, source_col, text_col))
-    at_chars = columns.index("n_chars") if "n_chars" in columns else None
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    held = share(docs.withColumn(row, F.monotonically_increasing_id())).df
+    rows = measured(held, id_col, source_col, text_col, F.col(row)).df
+    taken = mix(rows, plan_sources(rows, block=block), block).groupBy("seq", "pass").agg(F.sum("n_words").alias("n"), F.min("slot").alias("slot"))
+    taken = taken.join(rows.select("seq", "size"), "seq")
+    names = ["mix_pass", "mix_slot"]
+    passes = taken.select(F.col("seq").alias(row), F.col("pass").cast("int").alias(names[0]), F.col("slot").alias(names[1]), F.when(F.col("n") < F.col("size"), F.col("n")).alias("_words"))
+    joined = held.join(passes, row)
+    whole = joined.where("_words IS NULL").drop("_words", row)
+    # The row at which a source's target ends, one a source, is cut.
+    part = joined.where("_words IS NOT NULL").select("_words", *whole.columns)
+    at_text, at_chars = whole.columns.index(text_col), whole.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def cut(batches):
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        fields = to_arrow_schema(schema)
         for batch in batches:
-            data, offsets = text_buffer(batch.column(at_text))
-            ids, own_source = batch.column(at_id).to_pylist(), batch.column(at_source).to_pylist()
-            picks, cuts = [], []
-            for a, b in row_slices(offsets):
-                own = offsets[a : b + 1] - offsets[a]
-                raw = data[offsets[a] : offsets[b]]
-                prints = span_hash(prefix_hash(raw), own[:-1], own[1:]).view(np.int64)
-                _, ends, first = words(raw, own)
-                for k in range(b - a):
-                    size = int(first[k + 1] - first[k])
-                    if not size:
-                        continue
-                    i = ids[a + k]
-                    at = (hashlib.md5(b"" if i is None else str(i).encode()).digest(), size, int(prints[k]))
-                    for last, n in limits.get(own_source[a + k], ()):
-                        if at <= last:
-                            picks.append(a + k)
-                            cuts.append(int(ends[first[k] + n - 1] - own[k]) if at == last and n < size else None)
-            if not picks:
-                continue
-            out = pa.Table.from_batches([batch]).take(pa.array(picks, pa.int64()))
-            if any(c is not None for c in cuts):
-                texts = out.column(at_text).to_pylist()
-                short = [t if c is None else t.encode()[:c].decode() for t, c in zip(texts, cuts, strict=True)]
-                out = out.set_column(at_text, columns[at_text], pa.array(short, pa.string()))
-                if at_chars is not None:
-                    was = out.column(at_chars).to_pylist()
-                    now = [w if c is None else len(t) for w, c, t in zip(was, cuts, short, strict=True)]
-                    out = out.set_column(at_chars, columns[at_chars], pa.array(now, fields.field(at_chars).type))
-            yield from out.cast(fields).combine_chunks().to_batches()
-
-    return docs.mapInArrow(cut, schema)
+            columns, texts = list(batch.columns[1:]), batch.column(at_text + 1)
+            data, offsets = text_buffer(texts)
+            short = []
+            for k, n in enumerate(batch.column(0).to_pylist()):
+                own = data[offsets[k] : offsets[k + 1]]
+                _, ends, _ = words(own, np.array([0, len(own)]))
+                short.append(own[: ends[n - 1]].tobytes().decode())
+            columns[at_text] = pa.array(short, pa.string()).cast(texts.type)
+            if at_chars is not None:
+                columns[at_chars] = pa.array([len(t) for t in short], pa.int64()).cast(columns[at_chars].type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[1:])
+
+    out = whole.unionByName(part.mapInArrow(cut, whole.schema))
+    return out.repartitionByRange(names[1]).sortWithinPartitions(*names[::-1], F.col(id_col))
 
 
 OP3_SQL = """

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.kernels import count_words
+from quillon.llm.kernels import row_slices, text_buffer, words
 from quillon.llm.shared import running_total, share
 
 MOST_TOKENS = 4096
@@ -68,29 +68,45 @@ def best_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[i
 
 
 def pieces_of(docs: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
-    """(id, piece, first_token, n_tokens), at least one row a document."""
+    """(id, row, piece, first_token, n_tokens, text), at least one row a document; ``row`` tells rows of one id apart."""
 
-    def measure(batches):
+    def cut(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count_words(batch.column(1)))], names=["id", "size"])
+            data, offsets = text_buffer(batch.column(2))
+            for a, b in row_slices(offsets):
+                own, raw = offsets[a : b + 1] - offsets[a], data[offsets[a] : offsets[b]]
+                starts, ends, first = words(raw, own)
+                sizes = np.diff(first)
+                pieces = np.maximum(1, -(-sizes // most))
+                row = np.repeat(np.arange(b - a), pieces)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                n = np.minimum(sizes[row] - piece * most, most)
+                lo = first[row] + piece * most
+                some = n > 0
+                texts = [raw[starts[i] : ends[i + k - 1]].tobytes().decode() if k else "" for i, k in zip(lo, n, strict=True)]
+                at = pa.array(a + row)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(piece), pa.array(np.where(some, piece * most, 0)), pa.array(n), pa.array(texts, pa.string())],
+                    names=["id", "row", "piece", "first_token", "n_tokens", "text"],
+                )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    sized = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(measure, f"id {kind}, size long")
-    return sized.select("id", "size", F.explode(F.expr(f"sequence(0L, greatest(0L, (size - 1) div {most}))")).alias("piece")).select(
-        "id", "piece", (F.col("piece") * most).alias("first_token"), F.least(F.col("size") - F.col("piece") * most, F.lit(most)).alias("n_tokens")
-    )
+    read = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
+    return read.mapInArrow(cut, f"id {kind}, row long, piece long, first_token long, n_tokens long, text string")
 
 
 def packed(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    most: int = MOST_TOKENS, buckets: int = BUCKETS, batch_tokens: int = BATCH_TOKENS,
+    most: int = MOST_TOKENS, buckets: int = BUCKETS, batch_tokens: int = BATCH_TOKENS, with_text: bool = False,
 ) -> DataFrame:
-    """One row a piece: id, piece, first_token, n_tokens, bucket, bucket_len, batch, slot (place in the batch)."""
-    pieces = share(
-        pieces_of(docs, id_col, text_col, most)
-        .withColumn("seq", F.monotonically_increasing_id())
-        .withColumn("digest", F.unhex(F.md5(F.concat_ws(":", F.col("id").cast("string"), F.col("piece").cast("string"), F.col("seq").cast("string")))))
-    ).df
+    """One row a piece: id, row, piece, first_token, n_tokens, bucket, bucket_len, batch, slot (place in the batch).
+
+    ``row`` is the same for the pieces of one row of ``docs`` and differs between rows that share an id. ``with_text`` adds
+    the piece's text, from its first word to its last.
+    """
+    cut = pieces_of(docs, id_col, text_col, most)
+    held = share(cut if with_text else cut.drop("text")).df
+    pieces = held.drop("text").withColumn("digest", F.unhex(F.md5(F.concat_ws(":", F.col("id").cast("string"), F.col("piece").cast("string"), F.col("row").cast("string")))))
     histogram = pieces.where("n_tokens > 0").groupBy("n_tokens").count().collect()  # most entries at most
     histogram.sort(key=lambda r: r["n_tokens"])
     lengths = np.array([r["n_tokens"] for r in histogram], dtype=np.int64)
@@ -105,15 +121,16 @@ def packed(
     which = np.searchsorted(np.array(bounds), lengths)
     fullest = max((int(counts[which == k].sum()) for k in range(len(bounds))), default=0)
     ranked = running_total(
-        placed.where("bucket IS NOT NULL"), ["bucket"], ["digest", "n_tokens", "seq"], "digest", F.lit(1), fullest, "rank"
+        placed.where("bucket IS NOT NULL"), ["bucket"], ["digest", "n_tokens", "row", "piece"], "digest", F.lit(1), fullest, "rank"
     )
     rows = F.greatest(F.lit(1).cast("long"), F.expr(f"{batch_tokens} div bucket_len"))
     done = ranked.withColumn("_rows", rows).select(
-        F.col("id").alias(id_col), "piece", "first_token", "n_tokens", "bucket", "bucket_len",
+        F.col("id").alias(id_col), "row", "piece", "first_token", "n_tokens", "bucket", "bucket_len",
         F.expr("rank div _rows").alias("batch"), (F.col("rank") % F.col("_rows")).alias("slot"),
     )
     none = placed.where("bucket IS NULL").select(
-        F.col("id").alias(id_col), "piece", "first_token", "n_tokens", "bucket", "bucket_len",
+        F.col("id").alias(id_col), "row", "piece", "first_token", "n_tokens", "bucket", "bucket_len",
         F.lit(None).cast("long").alias("batch"), F.lit(None).cast("long").alias("slot"),
     )
-    return done.unionByName(none)
+    out = done.unionByName(none)
+    return out.join(held.select("row", "piece", "text"), ["row", "piece"]).select(*out.columns, "text") if with_text else out

@@ -20,7 +20,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed_documents(_table(spark, sf_dir, "documents"))
+    return mixing.mixed_documents(_table(spark, sf_dir, "documents")).drop("first_slot", "n_slots")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

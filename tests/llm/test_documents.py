@@ -132,10 +132,76 @@ class TestNearDedup:
         assert near_dedup.near_dedup(no_docs).count() == 0
 
 
+def mixed_model(rows, block):
+    """(id, taken, first_slot, n_slots, [(pass, slot, text)]) of each row by one machine: lists, sorting and counting."""
+    import hashlib
+    import math
+
+    sized = [(i, s, t or "", sizes(t)) for i, s, t in rows]
+    names = sorted({s for _, s, _, _ in sized}, key=lambda s: (s is None, (s or "").encode()))
+    total = {s: sum(n for _, x, _, n in sized if x == s) for s in names}
+    weight = {s: (5.0, 2.0, 1.0)[k % 3] for k, s in enumerate(names)}
+    target, left, open_weight, level = {}, 1.5 * sum(total.values()), sum(weight.values()), None
+    for s in sorted(names, key=lambda s: (2 * total[s] / weight[s], names.index(s))):
+        if level is None and 2 * total[s] * open_weight > left * weight[s]:
+            level = left / open_weight
+        target[s] = float(2 * total[s]) if level is None else level * weight[s]
+        left, open_weight = left - 2 * total[s], open_weight - weight[s]
+    words = {s: math.floor(target[s]) for s in names}
+    quota = {s: -(-words[s] // block) for s in names}
+    slots, circle, mask = sum(quota.values()), 1 << 62, (1 << 64) - 1
+    bounds, at = [], 0
+    for s in names:
+        begin, at = at, at + quota[s]
+        bounds.append((s, math.floor(begin / slots * circle) if begin < slots else circle, circle if at == slots else math.floor(at / slots * circle)))
+    got, places = Counter(), {}
+    for i in range(slots):
+        point = (i * 0x9E3779B97F4A7C15 & mask) >> 2
+        s = next(s for s, lo, hi in bounds if lo <= point < hi)
+        if got[s] < quota[s]:
+            places[s, got[s]] = i
+        got[s] += 1
+    for k, s in enumerate(names):
+        for rank in range(got[s], quota[s]):
+            places[s, rank] = slots + rank * len(names) + k
+    block_slot = {}
+    for s in names:
+        first = min(quota[s], total[s] // block)
+        for n, base in ((first, 0), (quota[s] - first, first)):
+            step = min(int(0.618 * n), 1 << 28) | 1
+            while math.gcd(step, max(n, 1)) != 1:
+                step += 2
+            for x in range(n):
+                block_slot[s, base + x * step % n] = places[s, base + x]
+    out, at = [], Counter()
+    for i, s, t, n in sorted(sized, key=lambda r: (hashlib.md5(b"" if r[0] is None else str(r[0]).encode()).digest(), r[3])):
+        own, taken, seen = [], 0, []
+        for p in range(2 if n else 0):
+            a = at[s] + p * total[s]
+            b = min(a + n, words[s])
+            if a < b:
+                used = [block_slot[s, k] for k in range(a // block, (b - 1) // block + 1)]
+                ends = [m.end() for m in re.finditer(r"[^\x20\x09-\x0D]+", t)]
+                own.append((p, min(used), t if b - a == n else t[: ends[b - a - 1]]))
+                taken, seen = taken + b - a, seen + used
+        at[s] += n
+        out.append((i, taken, min(seen, default=None), len(seen), own))
+    return out
+
+
 class TestMixing:
-    def test_targets(self):
-        assert mixing.spread([100, 100, 100], [5, 2, 1], 450) == [200, pytest.approx(500 / 3), pytest.approx(250 / 3)]
-        assert sum(mixing.spread([10, 20, 30, 40], [5, 2, 1, 5], 150)) == pytest.approx(150)
+    def plan(self, spark, sizes, share, block=10):
+        rows = spark.createDataFrame(list(sizes.items()), "source string, size long")
+        return mixing.plan_sources(rows, share_of_all=share, block=block)
+
+    def test_targets(self, spark):
+        got = {r["name"]: r for r in self.plan(spark, {"a": 100, "b": 100, "c": 100}, 1.5).df.collect()}
+        assert [got[x].target for x in "abc"] == [200, pytest.approx(500 / 3), pytest.approx(250 / 3)]
+        sizes = {None: 40, "b": 20, "c": 30, "a": 10, "é": 0}
+        got = sorted(self.plan(spark, sizes, 1.5).df.collect(), key=lambda r: r.s)
+        assert [r["name"] for r in got] == ["a", "b", "c", "é", None]
+        assert sum(r.target for r in got) == pytest.approx(150) and all(r.target <= 2 * r.source_size for r in got)
+        assert got[0].lo == 0 and got[-1].hi == mixing._CIRCLE and all(x.hi == y.lo for x, y in zip(got, got[1:], strict=False))
 
     def test_words_meet_the_targets(self, docs, texts):
         got = mixing.mixed_documents(docs, block=50).collect()
@@ -153,26 +219,38 @@ class TestMixing:
         assert all(abs(n - t) <= 1 for t, n in taken.items())
         assert sorted(set(target.values())) == sorted(set(total.values()))
         again = mixing.mixed_documents(docs.repartition(2), block=50).collect()
-        key = lambda r: (r.doc_id is None, r.doc_id or 0, r.size, r.taken)
+        key = lambda r: (r.doc_id is None, r.doc_id or 0, r.size, r.taken, r.first_slot or 0)
         assert sorted(got, key=key) == sorted(again, key=key)
 
     def test_schedule_is_whole_and_even(self, spark):
-        sources = [mixing.Source("a", 1, 5000, 6000.0, 6000), mixing.Source("b", 1, 900, 1800.0, 1800), mixing.Source("c", 1, 10, 5.0, 5)]
-        rows = mixing.schedule(spark, sources, 10).collect()
-        for s, quota in enumerate([600, 180, 1]):
-            assert sorted(r["rank"] for r in rows if r.s == s) == list(range(quota))
-        half = sorted(rows, key=lambda r: r.slot)[:390]
-        assert abs(sum(r.s == 0 for r in half) - 300) <= 4
-
-    def test_corpus(self, docs, texts):
+        plan = self.plan(spark, {"a": 5000, "b": 900, "c": 10, "d": 3}, 1.5)
+        quotas = {r.s: r.quota for r in plan.df.collect()}
+        rows = mixing.schedule(plan).collect()
+        assert len({r.slot for r in rows}) == len(rows)
+        for s, quota in quotas.items():
+            assert sorted(r.block for r in rows if r.s == s) == list(range(quota))
+        half = sorted(rows, key=lambda r: r.slot)[: len(rows) // 2]
+        assert abs(sum(r.s == 0 for r in half) - quotas[0] / 2) <= 4
+        first = [r.block for r in sorted(rows, key=lambda r: r.slot) if r.s == 0]
+        assert first != sorted(first)  # blocks are shuffled
+
+    def test_against_a_model(self, spark, docs):
+        rows = docs.collect()
+        want = mixed_model([(r.doc_id, r.source, r.text) for r in rows], 50)
+        got = Counter((r.doc_id, r.taken, r.first_slot, r.n_slots) for r in mixing.mixed_documents(docs, block=50).collect())
+        assert got == Counter((i, n, slot, k) for i, n, slot, k, _ in want)
         out = mixing.mixed_corpus(docs, block=50)
-        assert out.schema == docs.schema
-        rows = out.collect()
-        whole = {(i, t) for i, t, _ in texts}
-        cut = [r for r in rows if (r.doc_id, r.text) not in whole]
-        assert len(cut) <= 5
-        assert all(any(t and t.startswith(r.text) for i, t, _ in texts if i == r.doc_id) and r.n_chars == len(r.text) for r in cut)
-        assert sum(sizes(r.text) for r in rows) == pytest.approx(1.5 * sum(sizes(t) for _, t in whole if t), rel=0.02)
+        assert out.columns == [*docs.columns, "mix_pass", "mix_slot"]
+        got = out.collect()
+        assert Counter((r.doc_id, r.mix_pass, r.mix_slot, r.text, r.n_chars) for r in got) == Counter((i, p, slot, t, len(t)) for i, _, _, _, own in want for p, slot, t in own)
+        assert [r.mix_slot for r in got] == sorted(r.mix_slot for r in got)
+
+    def test_sources_of_another_type(self, spark):
+        rows = [(k, k % 3, "a b c d e f") for k in range(20)] + [(3, 0, "a b c d e f")] * 2
+        df = spark.createDataFrame(rows, "doc_id long, source int, text string")
+        taken = sum(r.taken for r in mixing.mixed_documents(df, block=7).collect())
+        assert taken == pytest.approx(1.5 * 22 * 6, abs=3)
+        assert sum(sizes(r.text) for r in mixing.mixed_corpus(df, block=7).collect()) == taken
 
     def test_empty(self, no_docs):
         assert mixing.mixed_documents(no_docs).count() == 0
@@ -195,7 +273,12 @@ class TestPacking:
             assert cost(bounds) == min(cost(o) for o in options)
 
     def test_pieces_and_batches(self, docs, texts):
-        rows = packing.packed(docs, most=64, buckets=3, batch_tokens=256).collect()
+        rows = packing.packed(docs, most=64, buckets=3, batch_tokens=256, with_text=True).collect()
+        pieces = defaultdict(list)
+        for r in sorted(rows, key=lambda r: r.piece):
+            assert sizes(r.text) == r.n_tokens and r.first_token == (64 * r.piece if r.n_tokens else 0)
+            pieces[r.doc_id, r.row] += re.findall(r"[^\x20\x09-\x0D]+", r.text)
+        assert Counter((i, *w) for (i, _), w in pieces.items()) == Counter((i, *re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t, _ in texts)
         total = Counter()
         for r in rows:
             total[r.doc_id] += r.n_tokens

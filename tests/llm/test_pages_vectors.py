@@ -4,11 +4,19 @@ from __future__ import annotations
 
 import json
 import math
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
 
-from quillon.llm import ann, components, html_wrapper, shared, url_filter
+from quillon.llm import ann, components, html_wrapper, mixing, packing, shared, url_filter
+from test_documents import mixed_model
+
+
+def shingles(text, n):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+    return {tuple(words[k : k + n]) for k in range(max(1, len(words) - n + 1))} if words else set()
 
 
 class TestComponents:
@@ -324,19 +332,45 @@ class TestNearest:
 
 
 class TestPipeline:
-    def test_stages(self, spark, docs, tmp_path):
+    def test_stages_against_brute_force(self, spark, docs, tmp_path):
         import corpus_pipeline
 
         docs.write.parquet(f"{tmp_path}/documents.parquet")
         spark.createDataFrame([(i, 0) for i in range(7, 40)] + [(41, 1)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
         now = spark.read.parquet(f"{tmp_path}/documents.parquet")
-        counts = [now.count()]
+        kept = []
         for name, stage in corpus_pipeline.STAGES[:-1]:
             now = shared.share(stage(spark, now, str(tmp_path))).df
             assert now.columns == docs.columns, name
-            counts.append(now.count())
-        assert counts[1] == counts[0] and counts[2] < counts[1] and counts[3] < counts[2] and counts[4] > 0
-        assert corpus_pipeline.run(spark, str(tmp_path)).count() >= counts[4]
+            kept.append([(r.doc_id, r.text, r.source) for r in now.collect()])
+        clean, unique, distinct, mixed = kept
+        assert len(clean) == docs.count()
+        # Exact copies: the smallest identifier of each normalised text.
+        first = {}
+        for row in sorted(clean, key=lambda r: (r[0] is None, r[0] or 0)):
+            first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", row[1] or ""), row)
+        assert Counter(r[0] for r in unique) == Counter(r[0] for r in first.values())
+        # Near copies: one of each set of documents that links of five-word shingles join.
+        sets = [shingles(t, 5) for _, t, _ in unique]
+        group = list(range(len(unique)))
+        for i in range(len(unique)):
+            for j in range(i):
+                if sets[i] and 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j]):
+                    old, new = group[i], group[j]
+                    group = [new if g == old else g for g in group]
+        by_group = {}
+        for g, row in zip(group, unique, strict=True):
+            by_group.setdefault(g, []).append(row)
+        assert len(distinct) == len(by_group)
+        assert all(sum(row in distinct for row in rows) == 1 for rows in by_group.values())
+        # The mix, and then its pieces.
+        want = [(i, t) for i, _, _, _, own in mixed_model([(i, s, t) for i, t, s in distinct], mixing.BLOCK_WORDS) for _, _, t in own]
+        assert Counter((i, t) for i, t, _ in mixed) == Counter(want)
+        pieces = {}
+        for r in sorted(corpus_pipeline.run(spark, str(tmp_path)).collect(), key=lambda r: r.piece):
+            assert r.n_tokens <= packing.MOST_TOKENS
+            pieces.setdefault((r.doc_id, r.row), []).extend(re.findall(r"[^\x20\x09-\x0D]+", r.text))
+        assert Counter((i, *w) for (i, _), w in pieces.items()) == Counter((i, *re.findall(r"[^\x20\x09-\x0D]+", t)) for i, t in want)
 
     def test_empty_tables(self, spark, no_docs, tmp_path):
         import corpus_pipeline
