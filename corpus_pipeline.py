@@ -1,9 +1,9 @@
 """The corpus pipeline: toxicity, exact dedup, near-dedup, mixing and packing, in this order.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. All but
-the last return the columns of documents: after mixing there is a row for each pass over a document, and where a source's
-target ends inside a document, the row holds the words up to there. Packing gives a row
-for each piece of a document (see quillon.llm.packing).
+the last return the columns of documents: after mixing there is a row for each pass over a document, in the order of the
+schedule, and where a source's target ends inside a document, the row holds the words up to there. Packing gives a row
+for each piece of a row, with its text; ``row`` tells the passes over a document apart (see quillon.llm.packing).
 """
 
 from __future__ import annotations
@@ -31,12 +31,12 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix, once for each pass over them."""
-    return mixing.mixed_corpus(docs)
+    return mixing.mixed_corpus(docs).drop("mix_pass", "mix_slot")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces in length buckets and batches."""
-    return packing.packed(docs)
+    return packing.packed(docs, with_text=True)
 
 
 STAGES = [
