@@ -1,6 +1,6 @@
-"""Removal of long byte strings that repeat, by ranks of sampled positions at growing lengths.
+"""Removal of long byte strings that repeat, by ranks of sampled positions at three growing lengths.
 
-Prefix doubling names a position by the pair of its own rank and the rank of the position one
+This is no prefix doubling over all positions (see the README for why); it shares its idea. Prefix doubling names a position by the pair of its own rank and the rank of the position one
 offset further on, and drops positions whose rank is unique. Here a rank is a 64-bit
 fingerprint, so a pair is named without a global sort, and positions are sampled: of the
 ``ANCHOR``-byte strings in every ``LENGTH``-byte window the one with the smallest
@@ -16,9 +16,11 @@ windows meet where their anchors do. Consecutive windows with one anchor are a r
 A class of anchors is resolved in one task up to ``MOST_IN_TASK`` different strings; beyond that its
 windows are counted by Spark one by one. Whole texts are read, a slice of bounded size at a time.
 
+Strings count as equal if two 64-bit fingerprints are, of their anchor and of the string. Rows are told apart by a number of
+their own, written beside the text first.
+
 Nulls and repeats: a null or empty text has no bytes and nothing is removed; a row that stands twice
-repeats itself; rows may share identifiers, as texts are told apart by fingerprint. An empty table gives an
-empty result.
+repeats itself; rows may share identifiers or have none. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -82,21 +84,12 @@ def _slices(data: np.ndarray, offsets: np.ndarray, length: int):
                 yield a, part, np.array([0, len(part)]), at
 
 
-def _fingerprints(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(offsets) - 1, dtype=_U)
-    for a, b in row_slices(offsets):
-        own = offsets[a : b + 1] - offsets[a]
-        out[a:b] = span_hash(prefix_hash(data[offsets[a] : offsets[b]]), own[:-1], own[1:])
-    return out.view(np.int64)
-
-
 def runs_of(docs: DataFrame, length: int, anchor: int) -> DataFrame:
-    """(id, print, lo, n, a, w): the runs of every text, with the ranks of anchor and whole string."""
+    """(id, lo, n, a, w): the runs of every text, with the ranks of anchor and whole string."""
 
     def find(batches):
         for batch in batches:
             data, offsets = text_buffer(batch.column(1))
-            prints = _fingerprints(data, offsets)
             for a, raw, own, shift in _slices(data, offsets, length):
                 found = _runs(raw, own, length, anchor)
                 if found is None or not len(found[0]):
@@ -105,45 +98,37 @@ def runs_of(docs: DataFrame, length: int, anchor: int) -> DataFrame:
                 row = row + a
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(pa.array(row)), pa.array(prints[row]), pa.array(lo + shift), pa.array(n.astype(np.int32)),
+                        batch.column(0).take(pa.array(row)), pa.array(lo + shift), pa.array(n.astype(np.int32)),
                         pa.array(ranks.view(np.int64)), pa.array(whole.view(np.int64)),
                     ],
-                    names=["id", "print", "lo", "n", "a", "w"],
+                    names=["id", "lo", "n", "a", "w"],
                 )
 
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(find, f"id {kind}, print long, lo long, n int, a long, w long")
+    return docs.mapInArrow(find, "id long, lo long, n int, a long, w long")
 
 
 def _strings(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The strings of the wanted runs: (a, id, print, lo, n, alone, large, s)."""
-    listed = wanted.groupBy("id").agg(F.collect_list(F.struct("print", "lo", "n", "a", "alone", "large")).alias("runs"))
-    joined = docs.join(listed.withColumnRenamed("id", "_id"), F.col("id").eqNullSafe(F.col("_id"))).select("id", "text", "runs")
-    kind = docs.schema["id"].dataType.simpleString()
+    """The strings of the wanted runs: (a, id, lo, n, alone, large, s)."""
+    listed = wanted.groupBy("id").agg(F.collect_list(F.struct("lo", "n", "a", "alone", "large")).alias("runs"))
+    joined = docs.join(listed, "id").select("id", "text", "runs")
 
     def cut(batches):
         for batch in batches:
             data, offsets = text_buffer(batch.column(1))
-            prints = _fingerprints(data, offsets)
             lists = batch.column(2)
             for i in range(0, batch.num_rows, 256):
                 flat = lists.slice(i, 256).flatten()
                 row = np.repeat(np.arange(i, min(i + 256, batch.num_rows)), np.diff(lists.slice(i, 256).offsets.to_numpy()))
-                field = {name: flat.field(k) for k, name in enumerate(("print", "lo", "n", "a", "alone", "large"))}
-                own = field["print"].to_numpy() == prints[row]
+                field = {name: flat.field(k) for k, name in enumerate(("lo", "n", "a", "alone", "large"))}
                 starts = offsets[row] + field["lo"].to_numpy()
                 ends = starts + field["n"].to_numpy() - 1 + length
-                strings = [data[s:e].tobytes() for s, e in zip(starts[own], ends[own], strict=True)]
-                keep = pa.array(own)
+                strings = [data[s:e].tobytes() for s, e in zip(starts, ends, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        field["a"].filter(keep), batch.column(0).take(pa.array(row[own])), *[field[c].filter(keep) for c in ("print", "lo", "n", "alone", "large")],
-                        pa.array(strings, pa.binary()),
-                    ],
-                    names=["a", "id", "print", "lo", "n", "alone", "large", "s"],
-                )
+                    [field["a"], batch.column(0).take(pa.array(row)), *[field[c] for c in ("lo", "n", "alone", "large")], pa.array(strings, pa.binary())],
+                    names=["a", "id", "lo", "n", "alone", "large", "s"],
+                )
 
-    return joined.mapInArrow(cut, f"a long, id {kind}, print long, lo long, n int, alone boolean, large boolean, s binary")
+    return joined.mapInArrow(cut, "a long, id long, lo long, n int, alone boolean, large boolean, s binary")
 
 
 def _windows(batch: pa.RecordBatch, length: int):
@@ -156,21 +141,21 @@ def _windows(batch: pa.RecordBatch, length: int):
     return span_hash(prefix_hash(data), at, at + length), row, batch.column(batch.schema.get_field_index("lo")).to_numpy()[row] + inner
 
 
-def _resolved(strings: DataFrame, length: int, kind: str) -> DataFrame:
-    """Repeated stretches (id, print, lo, n) of the lone runs of classes that fit a task."""
+def _resolved(strings: DataFrame, length: int) -> DataFrame:
+    """Repeated stretches (id, lo, n) of the lone runs of classes that fit a task."""
 
     def settle(batch: pa.RecordBatch) -> pa.RecordBatch:
         ranks, row, place = _windows(batch, length)
         _, back, counts = np.unique(ranks, return_inverse=True, return_counts=True)
-        hit = (counts[back] > 1) & batch.column(5).to_numpy(zero_copy_only=False)[row]
+        hit = (counts[back] > 1) & batch.column(4).to_numpy(zero_copy_only=False)[row]
         begins, closes = hit.copy(), hit.copy()
         begins[1:] &= ~(hit[:-1] & (row[1:] == row[:-1]))
         closes[:-1] &= ~(hit[1:] & (row[1:] == row[:-1]))
         s, e = np.flatnonzero(begins), np.flatnonzero(closes)
         at = pa.array(row[s])
         return pa.RecordBatch.from_arrays(
-            [batch.column(1).take(at), batch.column(2).take(at), pa.array(place[s]), pa.array((e - s + 1).astype(np.int32))],
-            names=["id", "print", "lo", "n"],
+            [batch.column(1).take(at), pa.array(place[s]), pa.array((e - s + 1).astype(np.int32))],
+            names=["id", "lo", "n"],
         )
 
     def resolve(batches):
@@ -188,10 +173,10 @@ def _resolved(strings: DataFrame, length: int, kind: str) -> DataFrame:
             yield settle(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
     sorted_by_class = strings.repartition("a").sortWithinPartitions("a")
-    return sorted_by_class.mapInArrow(resolve, f"id {kind}, print long, lo long, n int")
+    return sorted_by_class.mapInArrow(resolve, "id long, lo long, n int")
 
 
-def _counted(strings: DataFrame, length: int, kind: str) -> DataFrame:
+def _counted(strings: DataFrame, length: int) -> DataFrame:
     """The same for larger classes: Spark counts their windows one by one."""
 
     def emit(batches):
@@ -201,34 +186,33 @@ def _counted(strings: DataFrame, length: int, kind: str) -> DataFrame:
                 ranks, row, place = _windows(part, length)
                 at = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ranks.view(np.int64)), part.column(1).take(at), part.column(2).take(at), pa.array(place), part.column(5).take(at)],
-                    names=["r", "id", "print", "lo", "alone"],
+                    [part.column(0).take(at), pa.array(ranks.view(np.int64)), part.column(1).take(at), pa.array(place), part.column(4).take(at)],
+                    names=["a", "r", "id", "lo", "alone"],
                 )
 
-    windows = share(strings.mapInArrow(emit, f"r long, id {kind}, print long, lo long, alone boolean")).df
-    twice = windows.groupBy("r").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("r")
-    return windows.where("alone").join(twice, "r", "left_semi").select("id", "print", "lo", F.lit(1).alias("n"))
+    windows = share(strings.mapInArrow(emit, "a long, r long, id long, lo long, alone boolean")).df
+    twice = windows.groupBy("a", "r").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a", "r")
+    return windows.where("alone").join(twice, ["a", "r"], "left_semi").select("id", "lo", F.lit(1).alias("n"))
 
 
 def repeated_stretches(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
-    """(id, print, lo, n): n windows from byte lo of a text that also start elsewhere, for docs (id, text)."""
-    kind = docs.schema["id"].dataType.simpleString()
+    """(id, lo, n): n windows from byte lo of a text that also start elsewhere, for docs (id, text) with a number of its own in each row."""
     runs = share(runs_of(docs, length, anchor))
     # Written first, so that a join can split the runs of a frequent anchor.
     twice = share(runs.df.groupBy("a").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a")).df
     kept = share(runs.df.join(twice, "a", "left_semi"))
     runs.drop()
-    groups = share(kept.df.groupBy("a", "w").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("id", "print", "lo", "n")).alias("first"))).df
+    groups = share(kept.df.groupBy("a", "w").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("id", "lo", "n")).alias("first"))).df
     classes = share(groups.groupBy("a").agg(F.count(F.lit(1)).alias("strings"), F.count_if(F.col("c") == 1).alias("lone")).where("lone > 0")).df
     opened = groups.join(classes, "a").select(
         "a", "first.*", (F.col("c") == 1).alias("alone"), (F.col("strings") > MOST_IN_TASK).alias("large")
     )
     strings = share(_strings(docs, share(opened).df, length)).df
     several = share(groups.where("c > 1").select("a", "w")).df
-    whole = kept.df.join(several, ["a", "w"], "left_semi").select("id", "print", "lo", "n")
-    out = whole.unionByName(_resolved(strings.where("NOT large"), length, kind))
+    whole = kept.df.join(several, ["a", "w"], "left_semi").select("id", "lo", "n")
+    out = whole.unionByName(_resolved(strings.where("NOT large"), length))
     large = strings.where("large")
-    return out if large.isEmpty() else out.unionByName(_counted(large, length, kind))
+    return out if large.isEmpty() else out.unionByName(_counted(large, length))
 
 
 def spans(lo: np.ndarray, n: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -243,24 +227,22 @@ def spans(lo: np.ndarray, n: np.ndarray, length: int) -> tuple[np.ndarray, np.nd
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
     """One row a document: id, n_bytes, spans (removed runs: start, end) and kept, the remaining bytes' sha256."""
-    read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = share(repeated_stretches(read, length, anchor)).df
-    listed = found.groupBy("id").agg(F.collect_list(F.struct("print", "lo", "n")).alias("found"))
-    joined = read.join(listed.withColumnRenamed("id", "_id"), F.col("id").eqNullSafe(F.col("_id")), "left").select("id", "text", "found")
-    kind = read.schema["id"].dataType.simpleString()
+    held = share(docs.select(F.monotonically_increasing_id().alias("id"), F.col(id_col).alias("own"), F.col(text_col).alias("text"))).df
+    found = share(repeated_stretches(held.select("id", "text"), length, anchor)).df
+    listed = found.groupBy("id").agg(F.collect_list(F.struct("lo", "n")).alias("found"))
+    joined = held.join(listed, "id", "left").select("own", "text", "found")
+    kind = held.schema["own"].dataType.simpleString()
     runs = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def remove(batches):
         for batch in batches:
             data, offsets = text_buffer(batch.column(1))
-            prints = _fingerprints(data, offsets)
             sizes, removed, digests = np.diff(offsets), [], []
             for i in range(batch.num_rows):
                 text, own = data[offsets[i] : offsets[i + 1]], []
                 if batch.column(2)[i].is_valid:
                     flat = batch.column(2)[i].values
-                    mine = flat.field(0).to_numpy() == prints[i]
-                    lo, n = flat.field(1).to_numpy()[mine], flat.field(2).to_numpy()[mine].astype(np.int64)
+                    lo, n = flat.field(0).to_numpy(), flat.field(1).to_numpy().astype(np.int64)
                     if len(lo):
                         starts, ends = spans(lo, n, length)
                         own = [{"start": int(s), "end": int(e)} for s, e in zip(starts, ends, strict=True)]
