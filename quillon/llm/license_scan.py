@@ -2,12 +2,13 @@
 
 The index holds the words of each licence template with their positions. Words are
 weighed by their inverse document frequency over all documents (one count for each
-template word, so its size follows the templates, not the corpus). In a text, the
-rarest words of a template are looked up; each find proposes a place where the template
-would start, and words that propose the same place, give or take ``SLACK`` words, form a posting
-intersection. Places whose share of the template's weight reaches ``LEAST`` are tried, the largest
-share first; the first one with every mandatory phrase of the template inside
-the matched stretch is the match. Base phrases count wherever their words stand consecutively.
+template word, so its size follows the templates, not the corpus). Postings are kept for a template's
+rarest words that make up ``PROBED`` of its weight. A text's licence words of highest frequency weight, those with postings,
+are looked up; each find proposes a place where the template would start, and postings are intersected by relative position: a
+place whose finds, give or take ``SLACK`` words, weigh too little to reach ``LEAST`` of the template with all its other words is out, so
+no place that reaches it is lost. Only the places left are verified: the share of the template's words that stand at their
+position, give or take ``SLACK``, and, the largest share first, every mandatory phrase inside the matched
+stretch; the first place with both is the match. Base phrases count wherever their words stand consecutively.
 
 Nulls and repeats: a null text counts as empty and has no words and no labels; repeated rows get
 equal results. An empty table gives an empty result.
@@ -67,7 +68,7 @@ TEMPLATES = {
 }
 LEAST = 0.6
 SLACK = 3
-RAREST = 12
+PROBED = 0.7
 
 
 def _words(text: str) -> list[str]:
@@ -128,7 +129,7 @@ def document_frequency(docs: DataFrame, text_col: str) -> tuple[int, dict[str, i
 
 
 class _Index:
-    """Template postings: for each word code, (template, position, weight)."""
+    """Templates as word codes with weights, and the postings of their rarest words: template, position and weight by code."""
 
     def __init__(self, rows: int, frequency: dict[str, int]) -> None:
         idf = {w: math.log((rows + 1) / (n + 1)) + 1 for w, n in frequency.items()}
@@ -137,49 +138,74 @@ class _Index:
         self.spelled = [by_hash[int(h)].encode() for h in self.hashes]
         code = {w.decode(): i for i, w in enumerate(self.spelled)}
         self.base = [([code[w] for w in _words(p)], label) for p, label in BASE.items()]
-        self.labels, self.mandatory, self.lengths, self.totals = [], [], [], []
-        self.places: list[list[tuple[int, int, float, bool]]] = [[] for _ in self.spelled]
+        self.labels, self.mandatory, self.templates, self.weights, need = [], [], [], [], []
+        places: list[list[tuple[int, int, float]]] = [[] for _ in self.spelled]
         for t, (label, (text, phrases)) in enumerate(TEMPLATES.items()):
             words = _words(text)
             self.labels.append(label)
-            self.lengths.append(len(words))
-            self.totals.append(sum(idf[w] for w in words))
+            self.templates.append(np.array([code[w] for w in words], dtype=np.int32))
+            self.weights.append(np.array([idf[w] for w in words]))
             self.mandatory.append([[code[w] for w in _words(p)] for p in phrases])
-            rare = set(sorted(set(words), key=lambda w: (-idf[w], w))[:RAREST])
+            total, probed, probes = self.weights[t].sum(), 0.0, set()
+            for w in sorted(set(words), key=lambda w: (-idf[w], w)):
+                if probed >= PROBED * total:
+                    break
+                probes.add(w)
+                probed += idf[w] * words.count(w)
+            need.append(probed - (1 - LEAST) * total)
             for at, w in enumerate(words):
-                self.places[code[w]].append((t, at, idf[w], w in rare))
-
-
-def _matches(text: _Text, lo: int, hi: int, known: np.ndarray, index: _Index):
-    """(template, share, first word) of the verified matches in the words lo..hi."""
-    finds: dict[int, list[tuple[int, int, float, bool]]] = {}
-    for i in known:
-        for t, at, weight, rare in index.places[text.code[i]]:
-            finds.setdefault(t, []).append((int(i) - at, at, weight, rare))
-    for t, found in finds.items():
-        least = LEAST * index.totals[t]
-        if sum(f[2] for f in found) < least:
-            continue
-        found.sort()
-        starts = [f[0] for f in found]
-        places, a, b, weights, total = [], 0, 0, {}, 0.0
-        for place in sorted({f[0] for f in found if f[3]}):  # rare words propose places
-            while b < len(found) and starts[b] <= place + SLACK:
-                _, at, weight, _ = found[b]
-                weights[at] = weights.get(at, 0) + 1
-                total += weight * (weights[at] == 1)
-                b += 1
-            while starts[a] < place - SLACK:
-                _, at, weight, _ = found[a]
-                weights[at] -= 1
-                total -= weight * (weights[at] == 0)
-                a += 1
-            if round(total, 9) >= least:
-                places.append((-round(total, 9), place))
+                if w in probes:
+                    places[code[w]].append((t, at, idf[w]))
+        self.need = np.array(need) - 1e-9
+        self.first = np.concatenate([[0], np.cumsum([len(x) for x in places])])
+        flat = [x for own in places for x in own]
+        self.template, self.at = (np.array([x[k] for x in flat], dtype=np.int64) for k in (0, 1))
+        self.weight = np.array([x[2] for x in flat])
+
+    def places(self, text: _Text) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, template, place) of the places whose postings agree enough, for a slice of texts."""
+        codes = text.code[text.known]
+        n = self.first[codes + 1] - self.first[codes]
+        word = np.repeat(text.known, n)
+        entry = np.repeat(self.first[codes], n) + np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
+        row = np.searchsorted(text.first, word, side="right") - 1
+        template, place, weight = self.template[entry], word - self.at[entry], self.weight[entry]
+        # Rows and templates stand apart on one line, wider than any slack and template.
+        wide = int(max((len(x) for x in self.templates), default=0)) + 2 * SLACK + 2
+        span = len(text.code) + 2 * wide
+        line = (row * len(self.templates) + template) * span + place + wide
+        order = np.argsort(line, kind="stable")
+        line, weight = line[order], np.concatenate([[0.0], np.cumsum(weight[order])])
+        agreed = weight[np.searchsorted(line, line + SLACK, side="right")] - weight[np.searchsorted(line, line - SLACK, side="left")]
+        enough = agreed >= self.need[template[order]]
+        _, first = np.unique(line[enough], return_index=True)
+        some = order[enough][first]
+        return row[some], template[some], place[some]
+
+    def share(self, text: _Text, t: int, place: int, lo: int, hi: int) -> float:
+        """Share of the template's weight whose words stand at their position from ``place``, give or take SLACK, in the words lo..hi."""
+        codes = self.templates[t]
+        hit = np.zeros(len(codes), dtype=bool)
+        for d in range(-SLACK, SLACK + 1):
+            a, b = max(0, lo - place - d), min(len(codes), hi - place - d)
+            if a < b:
+                hit[a:b] |= text.code[place + d + a : place + d + b] == codes[a:b]
+        return round(float(self.weights[t][hit].sum() / self.weights[t].sum()), 9)
+
+
+def _matches(text: _Text, index: _Index):
+    """(row, template, share, first word) of the verified matches of a slice."""
+    found: dict[tuple[int, int], list[tuple[float, int]]] = {}
+    for row, t, place in zip(*(x.tolist() for x in index.places(text)), strict=True):
+        share = index.share(text, t, place, int(text.first[row]), int(text.first[row + 1]))
+        if share >= LEAST:
+            found.setdefault((row, t), []).append((-share, place))
+    for (row, t), places in sorted(found.items()):
+        lo, hi = int(text.first[row]), int(text.first[row + 1])
         for minus, place in sorted(places):
-            a, b = max(lo, place - SLACK), min(hi, place + index.lengths[t] + SLACK)
+            a, b = max(lo, place - SLACK), min(hi, place + len(index.templates[t]) + SLACK)
             if all(len(text.phrase(p, a, b)) for p in index.mandatory[t]):
-                yield t, min(1.0, -minus / index.totals[t]), max(lo, place) - lo
+                yield row, t, -minus, max(lo, place) - lo
                 break
 
 
@@ -200,7 +226,6 @@ def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             for a, b in row_slices(offsets):
                 text = _Text(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], index.hashes, index.spelled)
                 n_words[a:b] = np.diff(text.first)
-                bounds = np.searchsorted(text.known, text.first)
                 for codes, label in index.base:
                     at = text.known[text.code[text.known] == codes[0]]
                     for k in range(1, len(codes)):
@@ -213,13 +238,8 @@ def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                         first[a + r] = place if first[a + r] < 0 else min(first[a + r], place)
                         last[a + r] = max(last[a + r], place)
                         labels[a + r].append(label)
-                for k in range(b - a):
-                    known = text.known[bounds[k] : bounds[k + 1]]
-                    if len(known):
-                        matches[a + k] = [
-                            {"label": index.labels[t], "share": share, "first_word": at}
-                            for t, share, at in _matches(text, int(text.first[k]), int(text.first[k + 1]), known, index)
-                        ]
+                for row, t, share, at in _matches(text, index):
+                    matches[a + row].append({"label": index.labels[t], "share": share, "first_word": at})
             none = first < 0
             yield pa.RecordBatch.from_arrays(
                 [
