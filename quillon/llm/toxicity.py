@@ -3,9 +3,9 @@
 Learning uses at most ``MOST_LABELLED`` labelled rows a class, those with the smallest hashes of the
 identifier. Words and word beginnings of the toxic ones that are rare in the
 clean ones form the lexicon: all that pass a test of evidence. The trie of ``TABLE_TERMS`` terms at a time is intersected with
-Levenshtein automata of one edit (for whole words of ``FUZZY_LETTERS`` bytes or
-more; an edit is one byte of UTF-8) and made deterministic, so a batch of words runs through a
-table, one for each such trie, and most words leave it after a few bytes. Exact and misspelled finds of
+Levenshtein automata of one edit (for whole words of ``FUZZY_LETTERS`` letters or
+more; an edit is one letter, whatever its bytes) and made deterministic, so a batch of words runs through a
+table, one for each such trie, and most words leave it after a few letters. Exact and misspelled finds of
 a term are weighed apart, by what they say about the training rows.
 
 A find counts less where its window of ``WINDOW`` words holds a quotation mark or a word of report,
@@ -14,7 +14,7 @@ over a whole text gives the score; identifiers, languages, sources and labels do
 not enter it.
 
 Nulls and repeats: a null or empty text has no finds and gets the score of none; labels of a
-repeated identifier count as toxic if any is; null labels or identifiers are not learned from;
+repeated identifier count as toxic if any is, and its smallest text is learned from; null labels or identifiers are not learned from;
 without labels the lexicon is empty and all scores are 0. An empty table gives an empty result.
 """
 
@@ -59,12 +59,30 @@ def lowered(raw: np.ndarray) -> np.ndarray:
     return out
 
 
+def letters_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of UTF-8 bytes, and for each byte (and the end) how many letters begin before it."""
+    if not len(data) or data.max() < 0x80:
+        return data.astype(np.int32), np.arange(len(data) + 1)
+    lead = (data & 0xC0) != 0x80
+    at = np.flatnonzero(lead)
+    more = np.concatenate([data, np.zeros(3, dtype=np.uint8)]).astype(np.int32)
+    b0, b1, b2, b3 = (more[at + k] for k in range(4))
+    b1, b2, b3 = b1 & 0x3F, b2 & 0x3F, b3 & 0x3F
+    two, three, four = (b0 & 0x1F) << 6 | b1, (b0 & 0x0F) << 12 | b1 << 6 | b2, (b0 & 0x07) << 18 | b1 << 12 | b2 << 6 | b3
+    points = np.select([b0 < 0x80, b0 < 0xE0, b0 < 0xF0], [b0, two, three], four)
+    return points, np.concatenate([[0], np.cumsum(lead)])
+
+
 @dataclass(frozen=True)
 class Term:
     text: bytes
     whole: bool
     weight: float
 
+    @property
+    def letters(self) -> list[int]:
+        return [ord(c) for c in self.text.decode("utf-8", "replace")]
+
 
 class Automaton:
     """The trie of the terms, intersected with Levenshtein automata of one edit, as a table."""
@@ -76,8 +94,8 @@ class Automaton:
         begins: list[int] = [-1]
         bendable = [False]
 
-        def add(at: int, text: bytes) -> int:
-            for c in text:
+        def add(at: int, letters: list[int]) -> int:
+            for c in letters:
                 if c not in children[at]:
                     children[at][c] = len(children)
                     children.append({})
@@ -92,14 +110,16 @@ class Automaton:
         begins.append(-1)
         bendable.append(True)
         for k, term in enumerate(terms):
-            if term.whole and len(term.text) >= fuzzy_letters:
-                whole[add(1, term.text)] = k
+            letters = term.letters
+            if term.whole and len(letters) >= fuzzy_letters:
+                whole[add(1, letters)] = k
             elif term.whole:
-                whole[add(0, term.text)] = k
+                whole[add(0, letters)] = k
             else:
-                begins[add(0, term.text)] = k
+                begins[add(0, letters)] = k
         alphabet = sorted({c for x in children for c in x})
-        self.classes = np.zeros(256, dtype=np.int32)
+        # The last class stands for all letters beyond the alphabet's largest.
+        self.classes = np.zeros(max(alphabet, default=0) + 2, dtype=np.int32)
         self.classes[alphabet] = np.arange(1, len(alphabet) + 1)
 
         def skip(items: set) -> frozenset:
@@ -150,12 +170,12 @@ class Automaton:
         self.table = np.array(table, dtype=np.int32)
         self.labels = np.array([label(s) for s in states], dtype=np.int32)
 
-    def read(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """For each word 2 * term + (1 if misspelled), or -1."""
+    def read(self, letters: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """For each word, letters from a start to an end, 2 * term + (1 if misspelled), or -1."""
         out = np.full(len(starts), -1, dtype=np.int32)
         if not self.terms or not len(starts):
             return out
-        codes = self.classes[data]
+        codes = self.classes[np.minimum(letters, len(self.classes) - 1)]
         live, at, state = np.arange(len(starts)), starts.copy(), np.ones(len(starts), dtype=np.int32)
         while len(live):
             state = self.table[state, codes[at]]
@@ -175,11 +195,11 @@ class Automata:
         self.parts = [Automaton(terms[k : k + TABLE_TERMS]) for k in range(0, len(terms), TABLE_TERMS)]
         self.worth = np.array([t.weight - 10.0 * e for t in terms for e in (0, 1)])
 
-    def read(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def read(self, letters: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """For each word 2 * term + (1 if misspelled), or -1."""
         out, before = np.full(len(starts), -1, dtype=np.int32), 0
         for part in self.parts:
-            label = part.read(data, starts, ends)
+            label = part.read(letters, starts, ends)
             at = np.flatnonzero(label >= 0)
             label = label[at] + 2 * before
             better = (out[at] < 0) | (self.worth[label] >= self.worth[out[at]])
@@ -202,12 +222,13 @@ class Scorer:
     def finds(self, raw: np.ndarray, own: np.ndarray):
         data = lowered(raw)
         starts, ends, first = alnum_words(data, own)
-        label = self.automaton.read(data, starts, ends)
-        return data, starts, ends, first, label
+        letters, number = letters_of(data)
+        label = self.automaton.read(letters, number[starts], number[ends])
+        return data, letters, number, starts, ends, first, label
 
     def features(self, raw: np.ndarray, own: np.ndarray) -> np.ndarray:
         """Four sums for each row: finds in context, the strongest, their share of the words, and different terms."""
-        data, starts, ends, first, label = self.finds(raw, own)
+        data, letters, number, starts, ends, first, label = self.finds(raw, own)
         out = np.zeros((len(own) - 1, 4))
         hit = np.flatnonzero(label >= 0)
         weight = self.weights[label[hit]] if len(hit) else np.zeros(0)
@@ -218,7 +239,7 @@ class Scorer:
         lo, hi = np.maximum(hit - WINDOW, first[row]), np.minimum(hit + WINDOW + 1, first[row + 1])
         rows = np.unique(row)
         around = np.concatenate([np.arange(first[r], first[r + 1]) for r in rows])
-        cue = self.cues.read(data, starts[around], ends[around]) // 2
+        cue = self.cues.read(letters, number[starts[around]], number[ends[around]]) // 2
         factor = np.ones(len(hit))
         for mask, times in ((self.reports, _REPORTED), (~self.reports, _ADDRESS)):
             at = around[(cue >= 0) & mask[cue]]
@@ -320,7 +341,7 @@ def choose_terms(toxic: dict[bytes, int], clean: dict[bytes, int], n_toxic: int,
     out = []
     for t, w in kept.items():
         stem = t.rstrip(b"\x00")
-        bends = t != stem and len(stem) >= FUZZY_LETTERS
+        bends = t != stem and len(stem.decode("utf-8", "replace")) >= FUZZY_LETTERS
         if bends or not any(stem[:k] in kept and kept[stem[:k]] >= w - 0.5 for k in range(1, len(stem) + (t != stem))):
             out.append((w * np.log1p(toxic[t]), t, w))
     out.sort(key=lambda x: (-x[0], x[1]))
@@ -338,7 +359,8 @@ def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     some = [marks.where(kind).orderBy(order, "id").limit(most) for kind in ("y = 1", "y = 0")]
     marked = some[0].unionByName(some[1])
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = share(texts.join(F.broadcast(marked), "id").repartition(12, "id")).df  # a bounded sample
+    # A bounded sample, one row an identifier.
+    rows = share(texts.join(F.broadcast(marked), "id").groupBy("id", "y").agg(F.min("text").alias("text")).repartition(12, "id")).df
     sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:

@@ -333,6 +333,12 @@ class TestSuffixDedup:
         got = sorted((r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), r.kept_sha256) for r in out)
         assert got == sorted(brute_repeats(texts, 40))
 
+    def test_rows_that_share_an_identifier(self, spark):
+        texts = self.rows(random.Random(12))
+        df = spark.createDataFrame([(7 if i % 2 else None, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+        out = suffix_dedup.without_repeats(df, length=40, anchor=12).collect()
+        assert sorted((r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), r.kept_sha256) for r in out) == sorted(brute_repeats(texts, 40))
+
     def test_long_texts_come_in_chunks(self, spark, monkeypatch):
         monkeypatch.setattr(suffix_dedup, "_CHUNK", 300)
         rnd = random.Random(2)
@@ -375,6 +381,41 @@ class TestLicenseScan:
         assert "bsd" in out[100]
         assert "bsd" not in out[101]
 
+    def test_labels_against_every_place(self, spark):
+        import math
+
+        rnd = random.Random(6)
+        words = [w for text, _ in license_scan.TEMPLATES.values() for w in text.split()] + ["lorem", "ipsum"]
+        rows = []
+        for k in range(60):
+            text: list[str] = []
+            for _ in range(rnd.randint(0, 3)):
+                own = rnd.choice(list(license_scan.TEMPLATES.values()))[0].split()
+                text += [rnd.choice(words) if rnd.random() < 0.3 * (k % 4) / 3 else w for w in own if rnd.random() > 0.05 * (k % 3)]
+                text += rnd.choices(words, k=rnd.randint(0, 30))
+            rows.append((k, " ".join(text)))
+        vocabulary = {w for text, _ in license_scan.TEMPLATES.values() for w in text.split()}
+        idf = {w: math.log((len(rows) + 1) / (sum(w in t.split() for _, t in rows) + 1)) + 1 for w in vocabulary}
+        slack = license_scan.SLACK
+        want = {}
+        for k, t in rows:
+            own, labels = t.split(), set()
+            for label, (template, phrases) in license_scan.TEMPLATES.items():
+                parts = template.split()
+                for place in range(-len(parts), len(own)):
+                    near = [own[max(0, place + j - slack) : max(0, place + j + slack + 1)] for j in range(len(parts))]
+                    share = sum(idf[w] for w, n in zip(parts, near, strict=True) if w in n) / sum(idf[w] for w in parts)
+                    stretch = " ".join(["", *own[max(0, place - slack) : max(0, place + len(parts) + slack)], ""])
+                    # A place counts if a word of the template stands exactly where it says.
+                    exact = any(0 <= place + j < len(own) and own[place + j] == w for j, w in enumerate(parts))
+                    if exact and share >= license_scan.LEAST and all(f" {p} " in stretch for p in phrases):
+                        labels.add(label)
+            want[k] = labels
+        out = license_scan.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        got = {r.doc_id: {m.label for m in r.matches} for r in out}
+        assert sum(map(len, want.values())) >= 30
+        assert got == want
+
     def test_a_broken_better_place_does_not_hide_a_whole_one(self, spark):
         filler = " lorem ipsum dolor sit amet" * 30
         rows, texts = [], license_scan.TEMPLATES
@@ -455,6 +496,24 @@ class TestToxicity:
                 want = next((2 * k + (w != t) for k, t in enumerate((b"stupid", b"idiot")) if within_one(w, t)), -1)
             assert label == want, w
 
+    def test_an_edit_is_a_letter(self):
+        terms = [toxicity.Term("größe".encode(), True, 2.0), toxicity.Term("дурак".encode(), True, 2.0), toxicity.Term("naïf".encode(), True, 2.0)]
+        words = ["größe", "große", "grße", "дурак", "дурлк", "дрк", "naïf", "naif", "дур\U0001f600к", "x"]
+        scorer = toxicity.Scorer(terms)
+        raw = np.frombuffer(" ".join(words).encode(), dtype=np.uint8)
+        got = scorer.finds(raw, np.array([0, len(raw)]))[-1].tolist()
+        assert got == [0, 1, 1, 2, 3, -1, 4, -1, 3, -1]  # a word of four letters is not bent
+        letters, number = toxicity.letters_of(raw)
+        assert "".join(map(chr, letters)) == " ".join(words) and number[-1] == len(letters)
+
+    def test_a_repeated_identifier_is_learned_from_once(self, spark):
+        rows = [(k, f"fine words {k}") for k in range(30)] + [(100, "vile vile")] * 50 + [(101 + k, f"vile {k}") for k in range(20)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        labels = spark.createDataFrame([(i, int(i >= 100)) for i in {i for i, _ in rows}], "doc_id long, toxic int")
+        once = spark.createDataFrame(sorted(set(rows)), "doc_id long, text string")
+        a, b = toxicity.learned(docs, labels), toxicity.learned(once, labels)
+        assert (a.weights == b.weights).all() and np.allclose(a.model, b.model)
+
     def test_inflected_words_may_be_misspelled(self):
         forms = {"stupid": 300, "stupidity": 40}
         toxic = {w.encode() + b"\x00": n for w, n in forms.items()} | {b"stup": 340, b"stupi": 340, b"stupid": 40, b"stupidi": 40, b"stupidit": 40}
