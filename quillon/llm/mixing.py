@@ -154,7 +154,9 @@ def schedule(sources: Step) -> DataFrame:
     )
     own = matched(ranked.unionByName(short).withColumnRenamed("s", "_s"), sources, F.col("_s") == F.col("s"), "inner").where("rank < quota")
     first, later = F.col("rank") < F.col("first_blocks"), F.col("rank") - F.col("first_blocks")
-    block = F.when(first, F.col("rank") * F.col("first_step") % F.col("first_blocks")).otherwise(F.col("first_blocks") + later * F.col("more_step") % F.col("more_blocks"))
+    # Both branches may be worked out for every row, so neither divides by zero.
+    own_pass = lambda rank, kind: rank * F.col(f"{kind}_step") % F.greatest(F.col(f"{kind}_blocks"), F.lit(1))
+    block = F.when(first, own_pass(F.col("rank"), "first")).otherwise(F.col("first_blocks") + own_pass(later, "more"))
     return own.select("slot", "s", block.alias("block"))
 
 
