@@ -731,5 +731,122 @@ def python_rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", py_round(F.col("l_extendedprice") * F.col("l_discount") / 7).alias("rounded"))
 
 
+_LABEL_SOURCE = (
+    f"lb AS (SELECT t.onto_id, s AS iri, min(CASE WHEN p = '{V.PREF_LABEL}' THEN 0 ELSE 1 END) AS a FROM t WHERE p IN {_in(V.LABEL_PROPERTIES)} GROUP BY ALL), "
+    "dd AS (SELECT onto_id, iri FROM df WHERE definition <> '')"
+)
+
+
+@query(
+    f"{_POPULATION}, {_DEFINITIONS}, {_LABEL_SOURCE} SELECT dd.onto_id, CASE a WHEN 0 THEN 'skos:prefLabel' WHEN 1 THEN 'rdfs:label' ELSE 'iri_local_name' END AS source, count(*) AS n "
+    "FROM dd LEFT JOIN lb ON lb.onto_id = dd.onto_id AND lb.iri = dd.iri GROUP BY ALL"
+)
+def label_source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = T.triples(spark, sf_dir)
+    return M.label_sources(t, M.definition_texts(t, G.entities(t)))
+
+
+@query(
+    f"{_POPULATION}, {_DEFINITIONS}, {_LABEL_SOURCE} SELECT dd.onto_id, p, count(DISTINCT dd.iri) AS n FROM dd JOIN t ON t.onto_id = dd.onto_id AND t.s = dd.iri WHERE p IN {_in(V.DEFINITION_PROPERTIES)} GROUP BY ALL"
+)
+def definition_source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = T.triples(spark, sf_dir)
+    return M.definition_sources(t, M.definition_texts(t, G.entities(t)))
+
+
+#: One list of all orders, and one of three cells that bites its tail.
+_LONG_LIST = (
+    f"SELECT 'long' AS onto_id, 'c' || CAST(o_orderkey AS STRING) AS s, 'bnode' AS s_kind, '{V.FIRST}' AS p, o_orderpriority AS o, 'literal' AS o_kind FROM {{orders}} "
+    f"UNION ALL SELECT 'long', 'c' || CAST(o_orderkey AS STRING), 'bnode', '{V.REST}', coalesce('c' || CAST(lead(o_orderkey) OVER (ORDER BY o_orderkey) AS STRING), '{V.NIL}'), 'bnode' FROM {{orders}} "
+    f"UNION ALL SELECT 'cycle', 'x' || CAST(r_regionkey AS STRING), 'bnode', '{V.FIRST}', r_name, 'literal' FROM {{region}} WHERE r_regionkey < 3 "
+    f"UNION ALL SELECT 'cycle', 'x' || CAST(r_regionkey AS STRING), 'bnode', '{V.REST}', 'x' || CAST((r_regionkey + 1) % 3 AS STRING), 'bnode' FROM {{region}} WHERE r_regionkey < 3"
+)
+
+
+@query(
+    "SELECT 'long' AS onto_id, min('c' || o_orderkey) FILTER (o_orderkey = first) OVER () AS head, row_number() OVER (ORDER BY o_orderkey) - 1 AS position, o_orderpriority AS item, 'literal' AS item_kind "
+    "FROM orders, (SELECT min(o_orderkey) AS first FROM orders) UNION ALL SELECT 'cycle', 'x1', (r_regionkey + 2) % 3, r_name, 'literal' FROM region WHERE r_regionkey < 3"
+)
+def rdf_list_walk_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = T.table(spark, sf_dir, "orders").agg(F.min("o_orderkey")).select(F.lit("long").alias("onto_id"), F.concat(F.lit("c"), F.col("min(o_orderkey)").cast("string")).alias("head"))
+    heads = first.unionByName(spark.createDataFrame([("cycle", "x1")], "onto_id string, head string"))
+    return G.list_items(T.derived(spark, sf_dir, _LONG_LIST), heads)
+
+
+@query(f"{_FOUR}, a AS (SELECT *, (describe_score + define_score + connection_score + flat_score) / 4 AS av, least(describe_score, define_score, connection_score, flat_score) AS lo FROM four), "
+       "w AS (SELECT *, CASE lo WHEN describe_score THEN 'Describe' WHEN define_score THEN 'Define' WHEN connection_score THEN 'Connection' ELSE 'Flat' END AS weak, "
+       f"printf('%.2f', {py_round_sql('av')}) AS avs, printf('%.2f', {py_round_sql('lo')}) AS los FROM a) "
+       "SELECT onto_id, CASE WHEN av >= 8 THEN 'This ontology scores well across all dimensions (average ' || avs || '/10). The main area to improve is ' || weak || ' (' || los || '/10).' "
+       "WHEN av >= 5 THEN 'This ontology has mixed quality (average ' || avs || '/10). The weakest dimension is ' || weak || ' (' || los || '/10).' "
+       "ELSE 'This ontology scores low overall (average ' || avs || '/10). Several dimensions need work, starting with ' || weak || ' (' || los || '/10).' END AS summary_banner FROM w")
+def summary_banner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.averages(_scores(spark, sf_dir)).select("onto_id", "summary_banner")
+
+
+_QUEUE = (
+    f"q AS (SELECT dl.acronym, dl.submission_id, eval_bytes, CASE WHEN ev.status IN {_in(St.RETRYABLE)} AND attempts >= 2 THEN 'gave_up' ELSE 'run' END AS action "
+    f"FROM dl LEFT JOIN ev ON ev.acronym = dl.acronym AND ev.submission_id = dl.submission_id WHERE dl.status = 'ok' AND (ev.status IS NULL OR ev.status NOT IN {_in(St.TERMINAL)}))"
+)
+
+
+@query(f"{_STATE}, {_QUEUE} SELECT action, count(*) AS files, count(*) FILTER (eval_bytes IS NULL) AS unknown, sum(coalesce(eval_bytes, 0))::BIGINT AS bytes FROM q GROUP BY 1")
+def queue_size_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, downloads, evaluations = _state(spark, sf_dir)
+    return St.size_totals(St.work_queue(downloads, evaluations))
+
+
+@query(
+    f"{_STATE}, {_QUEUE} SELECT * FROM (SELECT 'first' AS unknown, acronym, submission_id FROM q ORDER BY eval_bytes ASC NULLS FIRST, acronym LIMIT 40) "
+    "UNION ALL SELECT * FROM (SELECT 'last', acronym, submission_id FROM q ORDER BY eval_bytes ASC NULLS LAST, acronym LIMIT 40)"
+)
+def queue_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, downloads, evaluations = _state(spark, sf_dir)
+    queue = St.work_queue(downloads, evaluations)
+    heads = [St.in_order(queue, last).limit(40).select(F.lit(name).alias("unknown"), "acronym", "submission_id") for name, last in (("first", False), ("last", True))]
+    return heads[0].unionByName(heads[1])
+
+
+@query("SELECT event_type AS acronym, value AS eval_seconds, event_id FROM events WHERE value IS NOT NULL ORDER BY value DESC, event_type LIMIT 15")
+def slowest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.slowest(T.table(spark, sf_dir, "events").select(F.col("event_type").alias("acronym"), F.col("value").alias("eval_seconds"), "event_id"))
+
+
+@query(f"{_GROUPED.replace('h AS', 'WITH h AS', 1)} SELECT keyword, acronym, concat_ws(', ', CASE WHEN hits > 0 THEN hits || ' matching term' || CASE WHEN hits = 1 THEN '' ELSE 's' END END, "
+       "CASE WHEN exact THEN 'exact name match' WHEN coalesce(example, '') <> '' THEN 'for example \"' || example || '\"' END) AS why FROM rel")
+def match_explanations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.grouped_hits(_hits(spark, sf_dir)).select("keyword", "acronym", S.explanation().alias("why"))
+
+
+@query(
+    "SELECT c_custkey, CASE WHEN c_custkey % 4 <> 0 THEN '#' || c_custkey % 9 || ' of ' || 9 ELSE '' END AS rank_text, "
+    + "CASE status " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in S.STATUS_TEXTS.items())
+    + " ELSE 'Not scored' END AS status_text FROM (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'empty' WHEN 1 THEN 'scored' WHEN 2 THEN 'other' END AS status FROM customer)"
+)
+def rank_and_status_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    status = F.when(k % 4 == 0, "empty").when(k % 4 == 1, "scored").when(k % 4 == 2, "other")
+    rank = S.rank_text(F.when(k % 4 != 0, k % 9), F.lit(9))
+    return T.table(spark, sf_dir, "customer").select("c_custkey", rank.alias("rank_text"), S.status_text(status).alias("status_text"))
+
+
+@query(
+    f"{_STATE} SELECT acronym, submission_id, CASE WHEN status = 'crashed' THEN 'running' ELSE status END AS status, CASE WHEN status = 'crashed' THEN attempts + 1 ELSE attempts END AS attempts, "
+    "CASE WHEN status = 'crashed' THEN 'r9' END AS run_id, CASE WHEN status <> 'crashed' THEN error END AS error FROM ev"
+)
+def started_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    null = F.lit(None).cast("string")
+    rows = T.derived(spark, sf_dir, T.EVALUATIONS).withColumns({c: null for c in ("started_at", "run_id", "error_type", "traceback", "stage_at_failure")})
+    return St.started(rows, rows.where("status = 'crashed'"), "r9", F.lit("now")).select("acronym", "submission_id", "status", "attempts", "run_id", "error")
+
+
+@query("SELECT c_custkey, 'DELETE FROM ontology_search WHERE provider = ''p'' AND acronym = ''' || c_name || ''';' AS value, 0 AS at FROM customer UNION ALL "
+       "SELECT c_custkey, 'INSERT INTO ontology_search (provider, acronym, name, description, categories) VALUES (''p'', ''' || c_name || ''', ''' || c_mktsegment || ''', NULL, ''it''''s'');', 1 FROM customer")
+def full_text_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = T.table(spark, sf_dir, "customer")
+    rows = c.select(F.lit("p").alias("provider"), F.col("c_name").alias("acronym"), F.col("c_mktsegment").alias("name"), F.lit(None).cast("string").alias("description"), F.lit("it's").alias("categories"))
+    found = R.full_text_refresh(rows).join(c.select("c_custkey", F.col("c_name").alias("acronym")), "acronym")
+    return found.select("c_custkey", "value", "at")
+
+
 QUERIES["score_distribution"] = QUERIES.pop("score_distribution_query")
 ORACLES["score_distribution"] = ORACLES.pop("score_distribution_query")
