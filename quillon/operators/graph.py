@@ -57,9 +57,9 @@ def individuals(triples: DataFrame, class_set: DataFrame | None = None) -> DataF
     return subjects.join(class_set, ["onto_id", "iri"], "left_anti")
 
 
-def entities(triples: DataFrame) -> DataFrame:
+def entities(triples: DataFrame, class_set: DataFrame | None = None) -> DataFrame:
     """(onto_id, iri, node_kind, kind): classes and individuals, which are disjoint."""
-    class_set = classes(triples)
+    class_set = classes(triples) if class_set is None else class_set
     named = class_set.select("onto_id", "iri", F.lit("iri").alias("node_kind"), F.lit("class").alias("kind"))
     return named.unionByName(individuals(triples, class_set).withColumn("kind", F.lit("individual")))
 
@@ -210,45 +210,49 @@ WALKED_EDGES = 1_000_000
 def depths(edges: DataFrame, rounds: int = PEELED_ROUNDS, walked_edges: int = WALKED_EDGES) -> DataFrame:
     """(onto_id, max_depth, back_edges) of each taxonomy.
 
-    Leaves are peeled level by level, however many there are: a parent's depth is known once all its children's are. When
-    nothing can be peeled, what is left lies on or above a cycle; that part alone is walked depth-first in sorted order, with
-    the depths of the peeled children. Deep hierarchies may be walked from ``rounds`` on, if few enough edges are left; the result is the same.
+    Leaves are peeled level by level, however many there are: an edge stays as long as its child has edges of its own, so a
+    node is a parent in as many rounds as there are levels below it. When a round drops no edge, what is left lies on or above
+    a cycle; that part alone is walked depth-first in sorted order, with the depths of the peeled children. Deep hierarchies
+    may be walked from ``rounds`` on, if few enough edges are left; the result is the same.
     """
     edges = materialise(edges)
     real = edges.where("NOT loop").select("onto_id", "parent", "child")
-    keys = edges.select("onto_id").distinct()
-    alive = edges.select("onto_id", F.col("parent").alias("n")).unionByName(real.select("onto_id", F.col("child").alias("n"))).distinct()
-    left, level, peeled = real, 0, None
-    while True:
-        leaves = materialise(alive.join(left.select("onto_id", F.col("parent").alias("n")).distinct(), ["onto_id", "n"], "left_anti"))
-        if leaves.isEmpty():
-            break
-        done = leaves.withColumn("depth", F.lit(level + 1))
-        peeled = done if peeled is None else peeled.unionByName(done)
-        alive = materialise(alive.join(leaves, ["onto_id", "n"], "left_anti"))
-        left = materialise(left.join(leaves.withColumnRenamed("n", "child"), ["onto_id", "child"], "left_anti"))
+    left, n, level, levels = real, real.count(), 0, None
+    while n:
         level += 1
+        parents = left.select("onto_id", F.col("parent").alias("n")).distinct()
+        at = parents.withColumn("below", F.lit(level))
+        levels = at if levels is None else levels.unionByName(at)
+        left = materialise(left.join(parents.withColumnRenamed("n", "child"), ["onto_id", "child"], "left_semi"))
+        before, n = n, left.count()
+        if n == before:
+            break
         if level % rounds == 0:
-            peeled = materialise(peeled)
+            levels = materialise(levels.groupBy("onto_id", "n").agg(F.max("below").alias("below")))
             most = left.groupBy("onto_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
             if most is not None and most <= walked_edges:
                 break
-    if peeled is None:
-        peeled = edges.select("onto_id", F.col("parent").alias("n"), F.lit(0).alias("depth")).limit(0)
-    by_peeling = peeled.groupBy("onto_id").agg(F.max("depth").alias("max_depth")).withColumn("back_edges", F.lit(0))
-    if alive.isEmpty():
-        return keys.join(by_peeling, "onto_id")
+    keys = edges.select("onto_id").distinct()
+    if levels is None:
+        return keys.select("onto_id", F.lit(1).alias("max_depth"), F.lit(0).alias("back_edges"))
+    if not n:
+        peeled = levels.groupBy("onto_id").agg((F.max("below") + 1).alias("max_depth"))
+        return keys.join(peeled, "onto_id", "left").select("onto_id", F.coalesce("max_depth", F.lit(1)).alias("max_depth"), F.lit(0).alias("back_edges"))
 
     def walk(table: pa.Table) -> pa.Table:
         parents, children, depth = (table.column(c).to_pylist() for c in ("parent", "child", "depth"))
         found, cut = _longest_path(zip(parents, children, strict=True), set(parents), {c: d for c, d in zip(children, depth, strict=True) if d is not None})
         return pa.table({"onto_id": table.column("onto_id").slice(0, 1), "max_depth": pa.array([found], pa.int32()), "back_edges": pa.array([cut], pa.int32())})
 
+    alive = left.select("onto_id", F.col("parent").alias("n")).distinct()
+    known = materialise(levels.groupBy("onto_id", "n").agg((F.max("below") + 1).alias("depth")).join(alive.withColumn("open", F.lit(True)), ["onto_id", "n"], "left"))
     open_edges = real.join(alive.withColumnRenamed("n", "parent"), ["onto_id", "parent"], "left_semi")
-    open_edges = open_edges.join(peeled.withColumnRenamed("n", "child"), ["onto_id", "child"], "left").select("onto_id", "parent", "child", "depth")
+    depth = F.when(F.col("open").isNull(), F.coalesce("depth", F.lit(1)))
+    open_edges = open_edges.join(known.withColumnRenamed("n", "child"), ["onto_id", "child"], "left").select("onto_id", "parent", "child", depth.alias("depth"))
     walked = open_edges.groupBy("onto_id").applyInArrow(walk, "onto_id string, max_depth int, back_edges int")
-    both = by_peeling.unionByName(walked).groupBy("onto_id").agg(F.max("max_depth").alias("max_depth"), F.max("back_edges").alias("back_edges"))
-    return keys.join(both, "onto_id")
+    peeled = known.where("open IS NULL").groupBy("onto_id").agg(F.max("depth").alias("peeled"))
+    both = keys.join(peeled, "onto_id", "left").join(walked, "onto_id", "left")
+    return both.select("onto_id", F.coalesce(F.greatest("peeled", "max_depth"), F.lit(1)).alias("max_depth"), F.coalesce("back_edges", F.lit(0)).alias("back_edges"))
 
 
 def top_counts(counts: DataFrame, key: str, k: int, count: str = "n") -> DataFrame:

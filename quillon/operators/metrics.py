@@ -198,25 +198,26 @@ def bp_definition_properties(triples: DataFrame, declared: DataFrame) -> DataFra
     return builtin.unionByName(both.select("onto_id", "p", place.alias("place"), F.lit(True).alias("literal_only"), source.alias("source")))
 
 
-def entity_links(triples: DataFrame, population: DataFrame) -> DataFrame:
+def entity_links(triples: DataFrame, population: DataFrame, class_set: DataFrame | None = None) -> DataFrame:
     """(onto_id, iri, p, links, restriction): links of entities by object property, from triples (each end counts) and from
     restrictions of superclasses."""
-    props = G.object_properties(triples)
+    props = materialise(G.object_properties(triples))
     members = population.select("onto_id", "iri")
     used = triples.join(props, ["onto_id", "p"], "left_semi")
     ends = used.select("onto_id", F.col("s").alias("iri"), "p").unionByName(used.select("onto_id", F.col("o").alias("iri"), "p"))
     from_triples = ends.groupBy("onto_id", "iri", "p").agg(F.count(F.lit(1)).alias("links")).join(members, KEYS, "left_semi")
-    return from_triples.withColumn("restriction", F.lit(False)).unionByName(restriction_links(triples, props).withColumn("restriction", F.lit(True)))
+    return from_triples.withColumn("restriction", F.lit(False)).unionByName(restriction_links(triples, props, class_set).withColumn("restriction", F.lit(True)))
 
 
-def restriction_links(triples: DataFrame, props: DataFrame | None = None) -> DataFrame:
+def restriction_links(triples: DataFrame, props: DataFrame | None = None, class_set: DataFrame | None = None) -> DataFrame:
     """(onto_id, iri, p, links): classes below a restriction on an object property."""
+    class_set = G.classes(triples) if class_set is None else class_set
     props = G.object_properties(triples) if props is None else props
     restrictions = G.of_type(triples, V.RESTRICTION).select("onto_id", F.col("s").alias("r"))
     on = G.pairs(triples, V.ON_PROPERTY).select("onto_id", F.col("s").alias("r"), F.col("o").alias("p"))
     on = on.join(restrictions, ["onto_id", "r"], "left_semi").join(props, ["onto_id", "p"], "left_semi")
     below = G.pairs(triples, V.SUBCLASS).select("onto_id", F.col("s").alias("iri"), F.col("o").alias("r"))
-    links = on.join(below, ["onto_id", "r"]).join(G.classes(triples), KEYS, "left_semi")
+    links = on.join(below, ["onto_id", "r"]).join(class_set, KEYS, "left_semi")
     return links.groupBy("onto_id", "iri", "p").agg(F.count(F.lit(1)).alias("links"))
 
 

@@ -20,6 +20,7 @@ from quillon.plans import results as R
 from quillon.plans import search as S
 from quillon.plans import state as St
 from quillon.plans import testbed as T
+from quillon.session import materialise
 from quillon.sources import sniff
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -159,13 +160,19 @@ def _defined(spark: SparkSession, sf_dir: str, triples: DataFrame, population: D
     return M.defined(texts)
 
 
+def _population(triples: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes and entities, written once for a query that joins with them several times."""
+    class_set = materialise(G.classes(triples))
+    return class_set, materialise(G.entities(triples, class_set))
+
+
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = T.triples(spark, sf_dir)
-    people = G.entities(t)
+    class_set, people = _population(t)
     out = M.describe_score(t, people).select("onto_id", "describe_score")
     out = out.join(M.define_score(t, people, _defined(spark, sf_dir, t, people)).select("onto_id", "define_score"), "onto_id")
-    out = out.join(M.connection_score(t, people).select("onto_id", "connection_score"), "onto_id")
-    return out.join(M.flat_score(t).select("onto_id", "flat_score"), "onto_id")
+    out = out.join(M.connection_score(t, people, M.entity_links(t, people, class_set)).select("onto_id", "connection_score"), "onto_id")
+    return out.join(M.flat_score(t, G.taxonomy(t, class_set)).select("onto_id", "flat_score"), "onto_id")
 
 
 @query(f"{_POPULATION} SELECT onto_id, iri, iri NOT IN ('{V.THING}', '{V.NOTHING}') AS named FROM cls")
@@ -402,8 +409,8 @@ def suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def entity_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = T.triples(spark, sf_dir)
-    people = G.entities(t)
-    table = M.entity_table(t, people, _defined(spark, sf_dir, t, people), M.entity_links(t, people), G.taxonomy(t))
+    class_set, people = _population(t)
+    table = M.entity_table(t, people, _defined(spark, sf_dir, t, people), M.entity_links(t, people, class_set), G.taxonomy(t, class_set))
     return _six(table, "define_value").select(
         "onto_id", "iri", "kind", "label", "describe_signal_count", "has_definition", "definition_chars", "define_value", "connection_links",
         "connection_distinct_properties", "taxonomy_children",

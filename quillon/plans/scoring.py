@@ -12,6 +12,7 @@ from quillon.functions.encoder import hashing
 from quillon.functions.text import py_round
 from quillon.operators import graph as G
 from quillon.operators import metrics as M
+from quillon.session import materialise
 
 VERSION = "1.0"
 KEY = "onto_id"
@@ -23,7 +24,9 @@ def summary(triples: DataFrame, declared: DataFrame | None = None, encoder: Call
     ``declared`` (onto_id, iri, at): definition properties that the registry knows of. An ontology without further
     definition properties keeps its strict Define, and its texts are encoded once.
     """
-    people = G.entities(triples)
+    # Several scores join with these sets, so they are written once.
+    class_set = materialise(G.classes(triples))
+    people = materialise(G.entities(triples, class_set))
     strict = M.defined(M.with_cosines(M.definition_texts(triples, people), triples, encoder))
     define = M.define_score(triples, people, strict)
     declared = triples.sparkSession.createDataFrame([], "onto_id string, iri string, at int") if declared is None else declared
@@ -42,8 +45,8 @@ def summary(triples: DataFrame, declared: DataFrame | None = None, encoder: Call
     out = (
         M.describe_score(triples, people).withColumnRenamed("described", "describe_described").drop("entities", "by_xl")
         .join(define.select(KEY, "define_score", F.col("defined").alias("define_defined"), F.col("cosine_mean").alias("define_cosine_mean"), F.col("cosine_std").alias("define_cosine_std")), KEY)
-        .join(M.connection_score(triples, people).select(KEY, "connection_score", F.col("coverage").alias("connection_coverage"), F.col("diversity").alias("connection_diversity"), F.col("richness").alias("connection_richness"), F.col("connected").alias("connection_connected")), KEY)
-        .join(M.flat_score(triples).select(KEY, "flat_score", F.col("max_depth").alias("flat_max_depth"), F.col("avg_branching").alias("flat_avg_branching"), F.col("parents").alias("flat_parents"), F.col("edges").alias("flat_edges"), F.col("back_edges").alias("flat_cycle_back_edges")), KEY)
+        .join(M.connection_score(triples, people, M.entity_links(triples, people, class_set)).select(KEY, "connection_score", F.col("coverage").alias("connection_coverage"), F.col("diversity").alias("connection_diversity"), F.col("richness").alias("connection_richness"), F.col("connected").alias("connection_connected")), KEY)
+        .join(M.flat_score(triples, G.taxonomy(triples, class_set)).select(KEY, "flat_score", F.col("max_depth").alias("flat_max_depth"), F.col("avg_branching").alias("flat_avg_branching"), F.col("parents").alias("flat_parents"), F.col("edges").alias("flat_edges"), F.col("back_edges").alias("flat_cycle_back_edges")), KEY)
         .join(define_bp, KEY, "left").join(told, KEY, "left").join(M.ontology_profile(triples, people), KEY).join(M.identity(triples), KEY)
     )
     out = M.averages(out).withColumns(

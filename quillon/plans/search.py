@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillon.functions.text import js_round, normalised_query
-from quillon.session import spread
+from quillon.session import materialise, spread
 
 METRICS = ("average_bp", "describe", "define_bp", "connection", "flat")
 CACHE_HOURS = 24
@@ -16,6 +16,8 @@ FEW_HITS = 5
 K1, B = 1.2, 0.75
 #: Query terms are broadcast up to this many, and joined by a shuffle beyond.
 BROADCAST_TERMS = 100_000
+#: Tokens of query terms are literals of the plan up to this many, and filter by a join beyond.
+LITERAL_TOKENS = 1_000
 # Fixed notes.
 STALE_NOTE = "BioPortal did not answer in time, so these matches are from an earlier search of the same keyword."
 FALLBACK_NOTE = "BioPortal did not answer in time, so these are approximate matches on ontology names and descriptions."
@@ -132,19 +134,38 @@ def query_terms(keywords: DataFrame) -> DataFrame:
     return keywords.select("keyword", F.posexplode(kept).alias("t", "term"))
 
 
-def postings(documents: DataFrame, columns: list[str], key: str = "acronym") -> tuple[DataFrame, DataFrame]:
-    """(key, c, position, token) of every token of the indexed columns, and (key, length)."""
+def postings(terms: DataFrame, documents: DataFrame, columns: list[str], key: str = "acronym") -> tuple[DataFrame, DataFrame]:
+    """(key, c, position, token) of the tokens of the indexed columns that stand in a term, and (key, length).
+
+    Texts are read and cut once: what is written of a text is its length and the places of wanted tokens. Up to
+    ``LITERAL_TOKENS`` wanted tokens filter each text's list, more filter its exploded tokens by a join.
+    """
     parts = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.coalesce(F.col(c), F.lit("")).alias("text")) for i, c in enumerate(columns)])).alias("part")
     texts = spread(documents.select(key, *columns)).select(key, parts)
-    words = lambda x: F.regexp_extract_all(x, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    index = texts.select(key, "part.c", F.posexplode(words(folded(F.col("part.text")))).alias("position", "token"))
-    # Folding maps letters to letters, so lengths do without it.
-    return index, texts.groupBy(key).agg(F.sum(F.size(words(F.col("part.text")))).alias("length"))
+    cut = texts.select(key, "part.c", _words(folded(F.col("part.text"))).alias("w"))
+    wanted = terms.select(F.explode(_words(folded(F.col("term")))).alias("token")).distinct()
+    few = [r[0] for r in wanted.limit(LITERAL_TOKENS + 1).collect()]
+    if len(few) > LITERAL_TOKENS:
+        index = cut.select(key, "c", F.posexplode("w").alias("position", "token")).join(wanted, "token", "left_semi")
+        return index.select(key, "c", "position", "token"), cut.groupBy(key).agg(F.sum(F.size("w")).alias("length"))
+    places = F.transform("w", lambda x, i: F.struct(i.alias("position"), x.alias("token")))
+    hits = F.when(F.arrays_overlap("w", _strings(few)), F.filter(places, lambda x: x["token"].isin(few)))
+    kept = materialise(cut.select(key, "c", F.size("w").alias("n"), hits.alias("hits")))
+    index = kept.select(key, "c", F.explode("hits").alias("hit")).select(key, "c", "hit.position", "hit.token")
+    return index, kept.groupBy(key).agg(F.sum("n").alias("length"))
+
+
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+
+
+def _strings(values: list[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
 def term_frequencies(terms: DataFrame, index: DataFrame, key: str = "acronym") -> DataFrame:
     """(keyword, t, key, tf): how often each term stands in each document; a term of several tokens is a phrase."""
-    words = terms.select("keyword", "t", F.posexplode(F.regexp_extract_all(folded(F.col("term")), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))).alias("at", "token"))
+    words = terms.select("keyword", "t", F.posexplode(_words(folded(F.col("term")))).alias("at", "token"))
     sizes = words.groupBy("keyword", "t").agg(F.count(F.lit(1)).alias("size"))
     few = words.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
     found = index.join(F.broadcast(words) if few else words, "token").select("keyword", "t", key, "c", (F.col("position") - F.col("at")).alias("start"), "at")
@@ -154,7 +175,7 @@ def term_frequencies(terms: DataFrame, index: DataFrame, key: str = "acronym") -
 
 def bm25(terms: DataFrame, documents: DataFrame, columns: list[str], key: str = "acronym") -> DataFrame:
     """(keyword, key, matched, score): BM25 of every document that holds a term; negative, lower is better."""
-    index, lengths = postings(documents, columns, key)
+    index, lengths = postings(terms, documents, columns, key)
     tf = term_frequencies(terms, index, key)
     df = tf.groupBy("keyword", "t").agg(F.count(F.lit(1)).alias("df"))
     totals = lengths.agg(F.count(F.lit(1)).alias("docs"), F.avg("length").alias("mean"))
@@ -168,7 +189,7 @@ def full_text(keywords: DataFrame, documents: DataFrame, columns: list[str], key
     """(keyword, key, relevance, best_rank): all terms first; where that finds few, documents with any term follow."""
     terms = query_terms(keywords)
     sizes = terms.groupBy("keyword").agg(F.count(F.lit(1)).alias("terms"))
-    scored = bm25(terms, documents, columns, key).join(sizes, "keyword").withColumn("score", F.round("score", 9))
+    scored = materialise(bm25(terms, documents, columns, key)).join(sizes, "keyword").withColumn("score", F.round("score", 9))
 
     def best(rows: DataFrame) -> DataFrame:
         order = Window.partitionBy("keyword").orderBy("score", key)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quillon import vocab as V
 from quillon.schemas import TRIPLES as TRIPLE_SCHEMA
@@ -163,10 +164,13 @@ _WRITTEN: dict[tuple[str, str], str] = {}
 
 
 def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived triples as a triple table is kept: Parquet by predicate, written once an application and folder."""
+    """The derived triples as a triple table is kept: Parquet by predicate, written once an application and folder.
+
+    Rebalancing joins what is small and splits a predicate of an ontology that is large.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WRITTEN:
         path = f"{scratch_dir(spark)}/triples-{uuid.uuid4().hex}"
-        derived(spark, sf_dir, TRIPLES).repartition("p", "onto_id").write.partitionBy("p").parquet(path)
+        derived(spark, sf_dir, TRIPLES).hint("rebalance", F.col("p"), F.col("onto_id")).write.partitionBy("p").parquet(path)
         _WRITTEN[key] = path
     return spark.read.schema(TRIPLE_SCHEMA).parquet(_WRITTEN[key])

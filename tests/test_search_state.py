@@ -213,3 +213,15 @@ def test_payload_and_texts(spark):
     assert got["none"] == {"keyword": "none", "source": "fallback", "note": "note", "total_hits": None, "count": 0, "scored_count": 0, "results": []}
     row = spark.range(1).select(S.rank_text(F.lit(2), F.lit(9)), S.rank_text(F.lit(None).cast("int"), F.lit(9)), S.status_text(F.lit("empty")), S.status_text(F.lit("?"))).first()
     assert tuple(row) == ("#2 of 9", "", "No entities found", "Not scored")
+
+
+def test_many_query_tokens_filter_by_a_join(spark, monkeypatch):
+    docs = spark.createDataFrame([("A", "Cell death of cells", "cell"), ("B", None, "death cell death"), ("C", "", ""), ("D", "other", None)], "acronym string, name string, about string")
+    terms = S.query_terms(spark.createDataFrame([("cell death",), ("cell-death none",)], "keyword string"))
+
+    def scores():
+        return sorted((r.keyword, r.acronym, r.matched, round(r.score, 9)) for r in S.bm25(terms, docs, ["name", "about"]).collect())
+
+    few = scores()
+    monkeypatch.setattr(S, "LITERAL_TOKENS", 0)
+    assert few == scores() and {r[:2] for r in few} == {("cell death", "A"), ("cell death", "B"), ("cell-death none", "A")}
