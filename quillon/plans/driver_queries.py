@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon import vocab as V
@@ -20,8 +20,9 @@ from quillon.plans import results as R
 from quillon.plans import search as S
 from quillon.plans import state as St
 from quillon.plans import testbed as T
+from quillon.plans.campaign import parity
 from quillon.session import materialise
-from quillon.sources import sniff
+from quillon.sources import archives, registry, sniff
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -855,5 +856,246 @@ def full_text_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("c_custkey", "value", "at")
 
 
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with their number as ``k`` and as acronym."""
+    rows = T.table(spark, sf_dir, "customer")
+    return rows.select("*", F.col("c_custkey").alias("k"), F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("acronym"))
+
+
+def _text_of(*parts: Column | str) -> Column:
+    """Parts side by side; plain strings are literals."""
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+
+_CUSTOMERS = "c AS (SELECT *, c_custkey AS k, 'C' || c_custkey AS acronym FROM customer)"
+
+
+@query(
+    f"WITH {_CUSTOMERS} SELECT acronym, CASE WHEN k % 5 = 0 THEN 'private' ELSE 'public' END AS bp_viewing_restriction, k % 7 = 0 AS bp_summary_only, k % 4 < 2 AS bp_is_view, "
+    "CASE k % 4 WHEN 0 THEN 'C' || k WHEN 1 THEN 'V' || k END AS bp_view_of, 'A;B' || k % 3 AS bp_categories, '' AS bp_groups, c_mktsegment AS bp_language, '1.' || k AS bp_version, "
+    "'production;beta' AS bp_submission_status, CASE WHEN k % 2 = 0 THEN 'en;fr' ELSE 'en' END AS bp_natural_language, least(5000, k % 3 * 2600) AS description_chars, "
+    "CASE WHEN k % 3 = 0 THEN '' ELSE 'Ann;None' END AS bp_contact_names, k AS bp_classes, NULL::BIGINT AS bp_max_depth, 'https://bioportal.bioontology.org/ontologies/C' || k AS bp_url FROM c"
+)
+def catalog_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, null = F.col("k"), F.lit(None).cast("string")
+    view = F.when(k % 4 == 0, _text_of('"http://x/ontologies/C', k, '/"')).when(k % 4 == 1, _text_of('{"acronym": "V', k, '"}')).when(k % 4 == 2, '""').otherwise("null")
+    domain = _text_of("http://x/categories/B", k % 3)
+    onto = _text_of(
+        '{"viewingRestriction": "', F.when(k % 5 == 0, "private").otherwise("public"), '", "summaryOnly": ', k % 7 == 0, ', "viewOf": ', view,
+        ', "hasDomain": ["', domain, '", {"name": "A"}, "', domain, '"], "group": []}',
+    )
+    sub = _text_of(
+        '{"hasOntologyLanguage": "', F.col("c_mktsegment"), '", "version": "1.', k, '", "submissionStatus": ["production", "beta"], "naturalLanguage": ',
+        F.when(k % 2 == 0, '["en", "fr"]').otherwise('"en"'), ', "description": "', F.expr("repeat('d', cast(k % 3 * 2600 AS INT))"), '", "contact": ',
+        F.when(k % 3 == 0, "null").otherwise('[{"name": "Ann"}, {"email": "x"}]'), "}",
+    )
+    rows = _customers(spark, sf_dir).select(
+        "acronym", F.col("c_name").alias("name"), F.lit(1).cast("long").alias("submission_id"), F.lit("ok").alias("status"), null.alias("error"), null.alias("fetched_at"),
+        onto.alias("ontology_json"), sub.alias("submission_json"), _text_of('{"classes": ', k, ', "maxDepth": "x"}').alias("metrics_json"),
+    )
+    return R.catalog_frame(rows).select(
+        "acronym", "bp_viewing_restriction", "bp_summary_only", "bp_is_view", "bp_view_of", "bp_categories", "bp_groups", "bp_language", "bp_version", "bp_submission_status",
+        "bp_natural_language", F.length("bp_description").cast("long").alias("description_chars"), "bp_contact_names", "bp_classes", "bp_max_depth", "bp_url",
+    )
+
+
+_ENRICHED = (
+    f"WITH {_GROUPED}, sc AS ({T.plain(T.SCORES)}), j AS (SELECT keyword, rel.acronym, relevance, hits, exact, best_rank, sc.acronym IS NOT NULL AS known, coalesce(status, 'pending') AS status, "
+    "CASE WHEN status = 'scored' THEN average_bp END AS average_bp, CASE WHEN status = 'scored' THEN described END AS \"describe\" FROM rel LEFT JOIN sc ON sc.acronym = rel.acronym)"
+)
+
+
+def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    null = F.lit(None)
+    texts = ("name", "ontology_language", "version", "released", "registry_url", "status_detail", "define_bp_source", "evaluated_at")
+    scores = ("define_score", "define_bp_score", "connection_score", "flat_score", "core_average")
+    serving = T.derived(spark, sf_dir, T.SCORES).select(
+        "acronym", "status", F.col("described").alias("describe_score"), F.col("average_bp").alias("core_average_bp"), F.expr("repeat('z', 500)").alias("description"),
+        F.lit("a;;b").alias("categories"), *[F.lit("" if c in ("name", "registry_url") else None).cast("string").alias(c) for c in texts],
+        *[null.cast("double").alias(c) for c in scores], null.cast("long").alias("entity_count"), null.cast("long").alias("triple_count"),
+    )
+    return S.enriched(S.grouped_hits(_hits(spark, sf_dir)), serving)
+
+
+@query(
+    f"{_ENRICHED} SELECT keyword, acronym, relevance, hits, exact, best_rank, acronym AS name, status, CASE WHEN NOT known THEN '{S.PENDING_DETAIL}' END AS status_detail, average_bp, \"describe\", "
+    "NULL::DOUBLE AS define, CASE WHEN known THEN repeat('z', 400) END AS description, CASE WHEN known THEN 'a,b' ELSE '' END AS categories, 'https://bioportal.bioontology.org/ontologies/' || acronym AS registry_url FROM j"
+)
+def enriched_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _enriched(spark, sf_dir).select(
+        "keyword", "acronym", "relevance", "hits", "exact", "best_rank", "name", "status", "status_detail", "average_bp", "describe", "define", "description",
+        F.array_join("categories", ",").alias("categories"), "registry_url",
+    )
+
+
+@query(
+    f"{_ENRICHED} SELECT keyword, 'live' AS source, count(*) AS n, count(*) FILTER (status = 'scored') AS scored_count, string_agg(acronym, ',' ORDER BY relevance DESC, best_rank, acronym) AS acronyms, "
+    "string_agg(status, ',' ORDER BY relevance DESC, best_rank, acronym) AS statuses FROM j GROUP BY 1"
+)
+def answer_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = S.with_ranks(_enriched(spark, sf_dir))
+    sources = ranked.select("keyword").distinct().select("keyword", F.lit("live").alias("source"), F.lit(None).cast("string").alias("note"), F.lit(None).cast("long").alias("total_hits"))
+    body = F.from_json("body", "struct<source: string, count: bigint, scored_count: bigint, results: array<struct<acronym: string, status: string>>>")
+    told = S.payload(ranked, sources).select("keyword", body.alias("b"))
+    return told.select(
+        "keyword", "b.source", F.col("b.count").alias("n"), "b.scored_count", F.array_join("b.results.acronym", ",").alias("acronyms"), F.array_join("b.results.status", ",").alias("statuses")
+    )
+
+
+@query(
+    f"WITH {_CUSTOMERS} SELECT k, CASE WHEN k % 4 = 3 THEN 'a b ' || k ELSE CASE WHEN k % 4 = 1 THEN repeat('x', 201) WHEN k % 4 = 2 THEN repeat('x', 200) ELSE '' END END AS q, "
+    "CASE k % 4 WHEN 0 THEN 'empty' WHEN 1 THEN 'too_long' END AS error FROM c"
+)
+def keyword_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
+    text = F.when(k % 4 == 3, _text_of("  A \t b ", k, " ")).when(k % 4 == 1, "x" * 201).when(k % 4 == 2, "X" * 200).when(k % 8 == 0, " ")
+    return S.valid_keywords(_customers(spark, sf_dir).select("k", text.alias("keyword"))).select("k", "q", "error")
+
+
+@query(
+    f"WITH {_HITS}, n AS (SELECT keyword, acronym, count(*) AS n, min(rank) AS first FROM h WHERE acronym IS NOT NULL GROUP BY ALL), "
+    "top AS (SELECT keyword, string_agg(acronym, ';' ORDER BY n DESC, first, acronym) AS top_ontologies FROM (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY keyword ORDER BY n DESC, first, acronym) <= 10) GROUP BY 1) "
+    "SELECT 'search' AS endpoint, keyword, count(*) AS result_count, count(DISTINCT acronym) AS distinct_ontologies, any_value(top_ontologies) AS top_ontologies FROM h LEFT JOIN top USING (keyword) GROUP BY keyword"
+)
+def endpoint_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.latency(_hits(spark, sf_dir).withColumn("endpoint", F.lit("search")))
+
+
+@query(
+    f"{_STATE} SELECT acronym, submission_id, CASE WHEN status <> 'done' THEN status WHEN attempts % 2 = 0 THEN 'done' WHEN attempts >= {St.MAX_ATTEMPTS} THEN 'gave_up' ELSE 'crashed' END AS status, "
+    "CASE WHEN status = 'done' AND attempts % 2 = 0 THEN 5.0 WHEN status <> 'done' THEN describe_score END AS describe_score, CASE WHEN status <> 'done' THEN flat_score END AS flat_score, "
+    "CASE WHEN status <> 'done' THEN error WHEN attempts % 2 = 1 THEN 'boom' END AS error, attempts FROM ev"
+)
+def finished_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    null = F.lit(None).cast("string")
+    rows = T.derived(spark, sf_dir, T.EVALUATIONS).withColumns({"summary_json": null, "result_path": null, "entities_path": null, "core_average": F.lit(1.0), "flat_score": F.col("flat_score").cast("double")})
+    good = F.col("attempts") % 2 == 0
+    results = rows.where("status = 'done'").select(
+        *St.KEY, F.when(good, "done").otherwise("crashed").alias("status"), F.lit(5.0).alias("describe_score"), F.when(~good, "boom").alias("error")
+    )
+    return St.finished(rows, results).select("acronym", "submission_id", "status", "describe_score", "flat_score", "error", "attempts")
+
+
+@query("SELECT o_custkey::VARCHAR AS acronym, max(o_orderkey) AS submission_id, arg_max(o_orderpriority, o_orderkey) AS status FROM orders GROUP BY 1")
+def latest_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = T.table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("acronym"), F.col("o_orderkey").alias("submission_id"), F.col("o_orderpriority").alias("status"))
+    return St.latest(rows)
+
+
+@query(f"WITH {_CUSTOMERS} SELECT acronym FROM c WHERE (k % 5 <> 0 AND k % 4 = 2 AND k % 3 <> 0) OR k % 50 = 1")
+def rescored_acronyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
+    source = F.when(k % 4 == 0, "").when(k % 4 == 1, "same_as_strict").otherwise("p: found")
+    score = F.when(k % 4 == 3, "").otherwise(', "define_bp_score": 1.5')
+    version = F.when(k % 3 == 0, ', "core4_version": "2"').when(k % 3 == 1, ', "core4_version": "1"').otherwise("")
+    rows = _customers(spark, sf_dir)
+    runs = rows.select("acronym", F.when(k % 5 == 0, "error").otherwise("done").alias("status"), _text_of('{"define_bp_source": "', source, '"', score, version, "}").alias("summary_json"))
+    plan = rows.select("acronym", (k % 100 == 1).alias("define_candidate"), (k % 100 == 51).alias("flat_recheck"))
+    return St.rescoring(plan, runs, "2")
+
+
+@query(
+    f"WITH {_CUSTOMERS}, x AS (SELECT acronym, k, CASE WHEN k % 3 <> 0 THEN ['original:submission'] ELSE [] END AS own, list_filter([CASE WHEN k % 4 = 0 OR k % 5 = 0 THEN CASE WHEN k % 6 < 2 THEN 'http://h/a.owl' END END, "
+    "CASE WHEN k % 4 = 0 OR k % 5 = 0 THEN 'http://purl.obolibrary.org/obo/c' || k || '.owl' END], lambda u: u IS NOT NULL) AS urls FROM c) "
+    "SELECT acronym, 0 AS at, 'original:submission' AS variant, '/ontologies/' || acronym || '/submissions/' || k || '/download' AS url, false AS external FROM x WHERE len(own) = 1 UNION ALL "
+    "SELECT acronym, len(own) + i, 'obo_owl:' || i, urls[i + 1], true FROM x, range(2) r(i) WHERE i < len(urls)"
+)
+def alternate_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
+    pull = F.when(k % 6 == 0, "http://h/a.obo").when(k % 6 == 1, "http://h/a.owl").when(k % 6 == 2, "ftp://h/a.owl").otherwise("")
+    rows = _customers(spark, sf_dir).select(
+        "acronym", k.alias("submission_id"), F.when(k % 3 == 0, "original:x").when(k % 3 == 1, "latest").alias("variant"), F.when(k % 4 == 0, "obo").alias("sniffed_format"),
+        _text_of('{"hasOntologyLanguage": "', F.when(k % 5 == 0, "obo").otherwise("OWL"), '", "pullLocation": "', pull, '"}').alias("submission_json"),
+    )
+    return St.alternate_sources(rows)
+
+
+@query(f"WITH {_CUSTOMERS} SELECT acronym FROM c WHERE k % 3 <> 0 AND k % 7 <> 0 AND k % 11 <> 0 AND k % 5 <> 0")
+def eligible_todo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
+    rows = _customers(spark, sf_dir).select(
+        "acronym", F.when(k % 3 == 0, "error").otherwise("ok").alias("catalog_status"), F.when(k % 7 == 0, "private").when(k % 2 == 0, "public").alias("bp_viewing_restriction"),
+        F.when(k % 11 == 0, True).when(k % 2 == 1, False).alias("bp_summary_only"), k.alias("bp_classes"),
+    )
+    known = _customers(spark, sf_dir).where(k % 5 == 0).select("acronym", F.when(k % 2 == 0, "ok").otherwise("no_submission").alias("status"))
+    return St.incremental_todo(St.eligible(rows).select("acronym"), known)
+
+
+@query(
+    "SELECT c_custkey AS k, 'INSERT OR REPLACE INTO scores (k, name, flag, balance) VALUES (' || c_custkey || ', ''' || c_name || '''''s'', ' || CASE WHEN c_custkey % 3 = 0 THEN 'NULL' WHEN c_custkey % 3 = 1 THEN '1' ELSE '0' END "
+    "|| ', ' || CASE WHEN c_custkey % 4 = 0 THEN 'NULL' ELSE c_acctbal::VARCHAR END || ');' AS value FROM customer"
+)
+def insert_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
+    rows = _customers(spark, sf_dir).select("k", _text_of(F.col("c_name"), "'s").alias("name"), F.when(k % 3 != 0, k % 3 == 1).alias("flag"), F.when(k % 4 != 0, F.col("c_acctbal")).alias("balance"))
+    number = F.regexp_extract("value", r"VALUES \((\d+)", 1).cast("long")
+    return R.insert_statements(rows, "scores").select(number.alias("k"), "value")
+
+
+@query(
+    "SELECT c_custkey AS k, CASE c_custkey % 5 WHEN 0 THEN 'f' || c_custkey || '.owl' WHEN 1 THEN 'a b' || c_custkey || '.ttl' WHEN 2 THEN 'é' || c_custkey || '.obo' WHEN 3 THEN 'say \"x\".rdf' END AS name FROM customer"
+)
+def server_filenames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
+    header = (
+        F.when(k % 5 == 0, _text_of("attachment; filename=f", k, ".owl")).when(k % 5 == 1, _text_of('attachment; filename="a b', k, '.ttl"; size=1'))
+        .when(k % 5 == 2, _text_of("attachment; filename=plain.obo; filename*=UTF-8''%C3%A9", k, ".obo")).when(k % 5 == 3, r'attachment; filename="say \"x\".rdf"')
+    )
+    return _customers(spark, sf_dir).select("k", archives.server_filename(F.when(k % 10 == 4, "inline").otherwise(header)).alias("name"))
+
+
+@query(
+    "SELECT c_name AS keyword, 0 AS rank, 'C' || c_custkey AS acronym, 'L' || c_custkey AS pref_label, 'a;b' AS synonym FROM customer UNION ALL SELECT c_name, 1, NULL, '', 'one' FROM customer"
+)
+def answered_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
+    body = _text_of(
+        '{"collection": [{"prefLabel": "L', k, '", "synonym": ["a", "b"], "links": {"ontology": "http://x/ontologies/C', k, '/"}}, {"prefLabel": null, "synonym": "one", "links": {}}], "totalCount": 2}'
+    )
+    rows = registry.search_hits(_customers(spark, sf_dir).select(F.col("c_name").alias("keyword"), body.alias("body")))
+    return rows.select("keyword", "rank", "acronym", F.array_join("pref_label", ";").alias("pref_label"), F.array_join("synonym", ";").alias("synonym"))
+
+
+@query(
+    "SELECT 'C' || c_custkey AS onto_id, 'define_score' AS metric, CASE WHEN c_custkey % 11 <> 0 THEN c_acctbal END AS got, CASE WHEN c_custkey % 10 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS want "
+    "FROM customer WHERE c_custkey % 10 = 0 OR c_custkey % 11 = 0 UNION ALL SELECT 'C' || c_custkey, m, NULL, 1.0 FROM customer, (VALUES ('describe_score'), ('connection_score'), ('flat_score')) v(m) WHERE c_custkey % 11 = 0"
+)
+def parity_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, balance, one = F.col("k"), F.col("c_acctbal"), F.lit(1.0)
+    others = [one.alias(c) for c in ("describe_score", "connection_score", "flat_score")]
+    rows = _customers(spark, sf_dir)
+    scores = rows.where(k % 11 != 0).select(F.col("acronym").alias("onto_id"), balance.alias("define_score"), *others)
+    expected = rows.select(F.col("acronym").alias("onto_id"), F.when(k % 10 == 0, balance + 1).otherwise(balance).alias("define_score"), *others)
+    return parity(scores, expected)
+
+
+_DECLARED = (("terms#definition", 0), ("terms#other", 2))
+
+
+@query(
+    f"{_POPULATION}, u AS (SELECT onto_id, p, count(*) AS uses, count(*) FILTER (o_kind = 'literal') AS texts FROM t WHERE p = '{T._E}terms#definition' GROUP BY ALL), d AS (SELECT onto_id, uses FROM u WHERE texts >= 0.8 * uses), "
+    "o AS (SELECT DISTINCT onto_id FROM t) SELECT onto_id, v.p, v.place, false AS literal_only, NULL AS source FROM o, (VALUES "
+    + ", ".join(f"('{p}', {i})" for i, p in enumerate(V.DEFINITION_PROPERTIES))
+    + f") v(p, place) UNION ALL SELECT onto_id, '{T._E}terms#definition', {len(V.DEFINITION_PROPERTIES)}, true, 'bioportal_definitionProperty' || CASE WHEN uses IS NULL THEN '' ELSE ' + detected_by_name' END FROM o LEFT JOIN d USING (onto_id) "
+    f"UNION ALL SELECT onto_id, '{T._E}terms#other', {len(V.DEFINITION_PROPERTIES) + 2}, true, 'bioportal_definitionProperty' FROM o "
+    f"UNION ALL SELECT onto_id, '{V.NOT_DEFINITION_TEXT[1]}', NULL, true, 'ignored: links to a defining document, not definition text' FROM o"
+)
+def declared_definition_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = T.triples(spark, sf_dir)
+    listed = [(T._E + name, at) for name, at in _DECLARED] + [(V.NOT_DEFINITION_TEXT[1], 1), (V.DEFINITION_PROPERTIES[0], 3)]
+    declared = t.select("onto_id").distinct().withColumn("x", F.explode(F.array(*[F.struct(F.lit(i).alias("iri"), F.lit(a).alias("at")) for i, a in listed])))
+    return M.bp_definition_properties(t, declared.select("onto_id", "x.iri", "x.at"))
+
+
+@query(
+    f"WITH {_T}, n AS (SELECT onto_id, p, count(*) AS n FROM t GROUP BY onto_id, p QUALIFY row_number() OVER (PARTITION BY onto_id ORDER BY n DESC, p) <= 5) "
+    "SELECT onto_id, string_agg(p || '=' || n, ',' ORDER BY n DESC, p) AS counts FROM n GROUP BY 1"
+)
+def predicate_count_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    maps = M.counted(G.profile_by(T.triples(spark, sf_dir), F.col("p"), "p"), "p", 5)
+    entries = F.transform(F.map_entries("counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return maps.select("onto_id", F.array_join(entries, ",").alias("counts"))
+
+
 QUERIES["score_distribution"] = QUERIES.pop("score_distribution_query")
 ORACLES["score_distribution"] = ORACLES.pop("score_distribution_query")
