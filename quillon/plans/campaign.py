@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import platform
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,12 +12,81 @@ from quillon.functions.encoder import hashing
 from quillon.plans import state
 from quillon.plans.scoring import summary
 from quillon.session import materialise
-from quillon.sources import archives, rdf
+from quillon.sources import archives, rdf, registry
 
 KEY = ["acronym", "submission_id"]
 SCORES = ["describe_score", "define_score", "connection_score", "flat_score", "core_average"]
 
 
+def to_download(catalog_rows: DataFrame, downloads: DataFrame, again: bool = False, only: Sequence[str] | None = None) -> DataFrame:
+    """(acronym, submission_id, state, attempts, size, master): submissions to ask for, of ``results.catalog_frame``.
+
+    What was asked for before is left out; with ``again`` only what is ok. ``state`` is private or summary_only for those that
+    may not be fetched, else null.
+    """
+    old = downloads.select(*KEY, F.col("status").alias("_was"), F.col("attempts").alias("_tries"))
+    settled = F.coalesce(F.col("_was") == "ok", F.lit(False)) if again else F.col("_was").isNotNull()
+    closed = F.when(F.col("bp_viewing_restriction") == "private", "private").when(F.col("bp_summary_only"), "summary_only")
+    rows = state.wanted(catalog_rows.where("catalog_status = 'ok'"), only).join(old, KEY, "left").where(~settled)
+    tries = (F.coalesce("_tries", F.lit(0)) + 1).cast("int").alias("attempts")
+    return rows.select(*KEY, closed.alias("state"), tries, F.col("bp_classes").alias("size"), F.col("bp_master_file_name").alias("master"))
+
+
+def download(
+    catalog_rows: DataFrame, downloads: DataFrame, connect: Callable[[], registry.Client], now: Column, run_id: str, again: bool = False, only: Sequence[str] | None = None,
+    limit: int | None = None, tasks: int = 1, most: int | None = archives.MOST_BYTES,
+) -> tuple[DataFrame, DataFrame]:
+    """The downloads table after a run, and the fetched files (acronym, submission_id, content, master) as a written table.
+
+    Ontologies with the fewest classes come first, unknown numbers last. Files are fetched in tasks (see ``registry.landed``).
+    """
+    todo = to_download(catalog_rows, downloads, again, only)
+    todo = materialise(todo.orderBy(F.col("size").asc_nulls_last(), "acronym").limit(limit) if limit else todo)
+    got = materialise(registry.landed(todo.where("state IS NULL").withColumn("url", F.lit(None)), connect, tasks, most))
+    rows = todo.select(*KEY, "state", "attempts").join(_told(got, todo.select(*KEY, "master")).drop("attempts"), KEY, "left")
+    new = rows.withColumn("status", F.coalesce("state", "status")).drop("state").withColumns({"started_at": now.cast("string"), "finished_at": now.cast("string"), "run_id": F.lit(run_id)})
+    files = got.where("status = 'ok'").select(*KEY, "content").join(todo.select(*KEY, "master"), KEY)
+    return state.upsert(downloads, new, KEY), files
+
+
+def download_from(
+    places: DataFrame, downloads: DataFrame, evaluations: DataFrame, connect: Callable[[], registry.Client], now: Column, run_id: str, force: bool = False, tasks: int = 1,
+    most: int | None = archives.MOST_BYTES,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Files of other addresses, ``places`` (acronym, url): the downloads table, the files, and (acronym, outcome) of all places.
+
+    An acronym that was never asked for is unknown_acronym; one with a good result is already_scored unless ``force``. Only an
+    ok outcome changes its download row, whose log it joins.
+    """
+    known = state.latest(downloads).select(*KEY, F.col("attempts_log").alias("_log"))
+    good = evaluations.where(state.is_good()).select("acronym").distinct().withColumn("_good", F.lit(True))
+    asked = places.dropDuplicates(["acronym"]).join(known, "acronym", "left").join(good, "acronym", "left")
+    why = F.when(F.col("submission_id").isNull(), "unknown_acronym").when(F.coalesce("_good", F.lit(False)) & ~F.lit(force), "already_scored")
+    asked = materialise(asked.select(*KEY, "url", "_log", why.alias("outcome")))
+    todo = asked.where("outcome IS NULL")
+    got = materialise(registry.landed(todo.withColumn("size", F.lit(None).cast("long")), connect, tasks, most))
+    good_ones = got.where("status = 'ok'")
+    logs = F.when(F.coalesce(F.length("_log"), F.lit(0)) > 2, F.concat(F.expr("left(_log, length(_log) - 1)"), F.lit(", "), F.expr("substring(attempts_log, 2)"))).otherwise(F.col("attempts_log"))
+    told = _told(good_ones, good_ones.select(*KEY, F.lit(None).cast("string").alias("master"))).drop("attempts").join(todo.select(*KEY, "_log", "url"), KEY)
+    new = told.withColumns({"attempts_log": logs, "finished_at": now.cast("string"), "run_id": F.lit(run_id)}).drop("_log")
+    outcomes = asked.join(got.select("acronym", "status"), "acronym", "left").select("acronym", F.coalesce("outcome", "status").alias("outcome"))
+    return state.upsert(downloads, new, KEY), good_ones.select(*KEY, "content", F.lit(None).cast("string").alias("master")), outcomes
+
+
+def _told(got: DataFrame, masters: DataFrame) -> DataFrame:
+    """Columns of download rows of landed files: what an ok file holds once opened, and why another isn't ok."""
+    name = F.to_json(F.struct(*KEY)).alias("onto_id")
+    opened = archives.expanded(got.where("status = 'ok'").select(*KEY, "content", name).join(masters, KEY)).select(
+        "onto_id", F.octet_length("content").cast("long").alias("eval_bytes"), "sniffed_format", "archive_type", F.to_json("archive_members").alias("archive_members")
+    )
+    ok = F.col("status") == "ok"
+    rows = got.select(
+        *[c for c in got.columns if c not in ("content", "disposition")], name, archives.server_filename(F.when(ok, F.col("disposition"))).alias("server_filename"),
+        F.when(~ok, F.concat(F.col("status"), F.lit(" (HTTP "), F.col("http_status").cast("string"), F.lit(")"))).alias("error"),
+    )
+    return rows.join(opened, "onto_id", "left").drop("onto_id")
+
+
 def evaluate(files: DataFrame, now: Column, run_id: str, declared: DataFrame | None = None, encoder: Callable[[Column], Column] = hashing) -> DataFrame:
     """Columns of evaluation rows, to be upserted, of files (acronym, submission_id, content, master).
 

@@ -1,6 +1,7 @@
 """The registry's REST interface: a throttled client with retries, and what lands from it.
 
-Requests are made on the driver by design: the registry allows a few a second. What lands is JSON that Spark reads.
+The listing is asked for on the driver: the registry allows a few requests a second. Files are fetched in tasks that share that
+rate, so their bytes never pass the driver.
 ``send`` is any function (url, params, headers) -> (status, headers, body), so tests need no network.
 """
 
@@ -11,11 +12,14 @@ import json
 import time
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from urllib.parse import urlsplit
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon import schemas
+from quillon.sources.archives import MOST_BYTES
 
 Send = Callable[[str, dict, dict], tuple[int, dict, bytes]]
 
@@ -119,7 +123,8 @@ def fetch(client: Client, acronym: str, submission_id: int, most: int | None = N
         external = path.startswith("http")
         status = 0
         try:
-            status, headers, body = client.request(path.format(acronym=acronym, submission_id=submission_id), params, external)
+            address = path if external else path.format(acronym=acronym, submission_id=submission_id)
+            status, headers, body = client.request(address, params, external)
             what = outcome(status, headers, body, most)
         except AuthError:
             what, headers, body = "not_downloadable", {}, b""
@@ -135,6 +140,42 @@ def fetch(client: Client, acronym: str, submission_id: int, most: int | None = N
     return row, None
 
 
+_LANDED = pa.schema(
+    [
+        ("acronym", pa.string()), ("submission_id", pa.int64()), ("status", pa.string()), ("variant", pa.string()), ("http_status", pa.int32()), ("attempts", pa.int32()),
+        ("attempts_log", pa.string()), ("bytes", pa.int64()), ("sha256", pa.string()), ("content_type", pa.string()), ("disposition", pa.string()), ("seconds", pa.float64()),
+        ("content", pa.binary()),
+    ]
+)
+_LANDED_DDL = (
+    "acronym string, submission_id bigint, status string, variant string, http_status int, attempts int, attempts_log string, bytes bigint, sha256 string, "
+    "content_type string, disposition string, seconds double, content binary"
+)
+
+
+def landed(todo: DataFrame, connect: Callable[[], Client], tasks: int = 1, most: int | None = MOST_BYTES, variants=VARIANTS) -> DataFrame:
+    """Download rows with their content of ``todo`` (acronym, submission_id, url, size), the smallest first in each task.
+
+    Without a url the registry's variants are tried, else that address alone. ``connect`` makes the client of a task; each of
+    the ``tasks`` gets its part of the client's rate and holds one file at a time. Computing the result asks the network, so
+    write it before it is used twice.
+    """
+
+    def run(batches):
+        client = connect()
+        client.per_second /= tasks
+        for batch in batches:
+            for acronym, submission_id, url in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                began = client.clock()
+                ways = variants if url is None else ((f"url:{urlsplit(url).netloc or 'url'}", url, {}),)
+                row, body = fetch(client, acronym, submission_id, most, ways)
+                row |= {"seconds": client.clock() - began, "content": body}
+                yield pa.RecordBatch.from_pylist([{n: row.get(n) for n in _LANDED.names}], schema=_LANDED)
+
+    dealt = todo.select("acronym", F.col("submission_id").cast("long"), F.col("url").cast("string"), "size").repartition(tasks)
+    return dealt.sortWithinPartitions(F.col("size").asc_nulls_last(), "acronym").drop("size").mapInArrow(run, _LANDED_DDL)
+
+
 def restricted(catalog_rows: DataFrame) -> DataFrame:
     """(acronym, status) of ontologies that are not asked for: private and summary-only ones."""
     view = F.get_json_object("ontology_json", "$.viewingRestriction")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import json
 
 from pyspark.sql import functions as F
 
@@ -63,3 +64,49 @@ def test_entities_parity_and_report(spark, tmp_path):
     assert [tuple(r) for r in C.parity(got, want).collect()] == [("o", "connection_score", 3.0, 3.5)] and C.parity(got, got).isEmpty()
     report = C.session_report(spark)
     assert report["spark"] == spark.version and report["conf"]
+
+
+def made_up_registry():
+    """What makes a task's client of a made-up registry."""
+    from quillon.sources import registry
+
+    good, packed = GOOD, gzip.compress(GOOD)
+    def send(url, params, headers):
+        if url.startswith("http://other"):
+            return (200, {}, good) if url.endswith("b.ttl") else (404, {}, b"")
+        acronym = url.split("/")[4]
+        if acronym == "a" and params:
+            return 200, {"Content-Disposition": 'attachment; filename="a.ttl.gz"', "Content-Type": "text/turtle"}, packed
+        if acronym == "b":
+            return (200, {}, b"<html>") if params else (500, {}, b"")
+        return 403, {}, b""
+
+    return lambda: registry.Client(send, "http://r", retries=0, sleep=lambda s: None)
+
+
+def test_download_and_other_places(spark):
+    connect = made_up_registry()
+    kinds = "acronym string, submission_id long, catalog_status string, bp_viewing_restriction string, bp_summary_only boolean, bp_classes long, bp_master_file_name string"
+    rows = [("a", 1, "ok", None, None, None, None), ("b", 2, "ok", "public", False, 5, None), ("c", 3, "ok", "private", None, 1, None), ("d", 4, "ok", None, True, 1, None), ("e", 5, "ok", None, None, 2, None)]
+    catalog = spark.createDataFrame([*rows, ("f", -1, "no_submission", None, None, None, None), ("g", 7, "ok", None, None, 1, None)], kinds)
+    before = spark.createDataFrame([{"acronym": "e", "submission_id": 5, "status": "failed", "attempts": 1}, {"acronym": "g", "submission_id": 7, "status": "ok", "attempts": 1}], schemas.DOWNLOADS)
+    after, files = C.download(catalog, before, connect, F.lit("t"), "r", tasks=2)
+    got = {r.acronym: r for r in after.collect()}
+    assert {k: (r.status, r.attempts) for k, r in got.items()} == {"a": ("ok", 1), "b": ("failed", 1), "c": ("private", 1), "d": ("summary_only", 1), "e": ("failed", 1), "g": ("ok", 1)}
+    a = got["a"]
+    assert (a.variant, a.server_filename, a.archive_type, a.eval_bytes, a.run_id, a.error) == ("rdf:submission", "a.ttl.gz", "gzip", len(GOOD), "r", None)
+    assert '"html_response"' in got["b"].attempts_log and got["b"].error == "failed (HTTP 500)" and [gzip.decompress(r.content) for r in files.collect()] == [GOOD]
+    again = {r.acronym: (r.status, r.attempts) for r in C.download(catalog, after, connect, F.lit("t"), "r", again=True, only=["E", "A"])[0].collect()}
+    assert again["e"] == ("not_downloadable", 2) and again["a"] == ("ok", 1)
+    first = C.download(catalog, before, connect, F.lit("t"), "r", limit=3)[0]
+    assert {r.acronym for r in first.collect()} == {"b", "c", "d", "e", "g"}
+
+    runs = spark.createDataFrame([{"acronym": "a", "submission_id": 1, "status": "done", "summary_json": '{"entities": 3}'}], schemas.EVALUATIONS)
+    places = spark.createDataFrame([("a", "http://other/a.ttl"), ("b", "http://other/{x}/b.ttl"), ("e", "http://other/e.ttl"), ("z", "http://other/z.ttl")], "acronym string, url string")
+    moved, fetched, outcomes = C.download_from(places, after, runs, connect, F.lit("t2"), "r2")
+    assert dict(outcomes.collect()) == {"a": "already_scored", "b": "ok", "e": "not_found", "z": "unknown_acronym"}
+    b = {r.acronym: r for r in moved.collect()}["b"]
+    assert (b.status, b.variant, b.url, b.bytes, b.error, b.run_id) == ("ok", "url:other", "http://other/{x}/b.ttl", len(GOOD), None, "r2")
+    assert [x["outcome"] for x in json.loads(b.attempts_log)] == ["html_response", "html_response", "failed", "ok"]
+    assert [(r.acronym, r.submission_id) for r in fetched.collect()] == [("b", 2)]
+    assert dict(C.download_from(places, after, runs, connect, F.lit("t2"), "r2", force=True)[2].collect())["a"] == "not_found"
