@@ -77,12 +77,12 @@ def expanded(files: DataFrame, key: str = "onto_id") -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            opened = [_opened(c or b"", m) for c, m in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            columns = list(zip(*opened, strict=True)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.list_(pa.string())), pa.array(columns[3], pa.string())],
-                names=[key, "content", "archive_type", "archive_members", "archive_error"],
-            )
+            for k in range(batch.num_rows):  # a file at a time, so a task never holds two opened ones
+                content, kind, members, error = _opened(batch.column(1)[k].as_py() or b"", batch.column(2)[k].as_py())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(k, 1), pa.array([content], pa.binary()), pa.array([kind], pa.string()), pa.array([members], pa.list_(pa.string())), pa.array([error], pa.string())],
+                    names=[key, "content", "archive_type", "archive_members", "archive_error"],
+                )
 
     kind = files.schema[key].dataType.simpleString()
     out = files.select(key, "content", "master").mapInArrow(run, f"{key} {kind}, content binary, archive_type string, archive_members array<string>, archive_error string")

@@ -613,23 +613,21 @@ def parsed(files: DataFrame) -> DataFrame:
     """
     attempt = pa.list_(pa.struct([("format", pa.string()), ("ok", pa.bool_()), ("seconds", pa.float64()), ("error", pa.string())]))
     names = ["s", "s_kind", "p", "o", "o_kind", "o_lang", "o_dtype"]
-    triple = pa.list_(pa.struct([(n, pa.string()) for n in names]))
 
     def run(batches):
         for batch in batches:
-            out: list[list] = [[], [], [], []]
-            for onto, content, kind, error in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            # A file at a time, its triples as columns, so a task never holds the triples of two.
+            for k in range(batch.num_rows):
+                onto, content, kind, error = (c[k].as_py() for c in batch.columns)
                 found, name, attempts = (None, None, [])
                 if error is None:
                     found, name, attempts = parse((content or b"").decode("utf-8-sig", errors="replace"), onto, kind)
                     if found is None:
                         error = "unsupported format (tried " + ", ".join(a["format"] for a in attempts) + f"). Last error: {attempts[-1]['error']}"
-                for column, value in zip(out, (name, error, attempts, [dict(zip(names, t, strict=True)) for t in found or []]), strict=True):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], attempt), pa.array(out[3], triple)],
-                names=["onto_id", "sniffed_format", "format", "error", "attempts", "triples"],
-            )
+                columns = [pa.array([t[i] for t in found or []], pa.string()) for i in range(len(names))]
+                items = pa.ListArray.from_arrays(pa.array([0, len(found or [])], pa.int32()), pa.StructArray.from_arrays(columns, names=names))
+                one = [pa.array([v], kind_) for v, kind_ in ((onto, batch.column(0).type), (kind, pa.string()), (name, pa.string()), (error, pa.string()), (attempts, attempt))]
+                yield pa.RecordBatch.from_arrays([*one, items], names=["onto_id", "sniffed_format", "format", "error", "attempts", "triples"])
 
     told = files.select("onto_id", "content", sniff.sniffed(F.col("content")).alias("kind"))
     told = told.withColumn("error", sniff.unsupported(F.col("kind")))
