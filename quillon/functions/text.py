@@ -108,6 +108,11 @@ def js_round(x: Column, digits: int = 3) -> Column:
     return F.floor(x * scale + 0.5) / scale
 
 
+def floor_double(x: Column) -> Column:
+    """The floor as a double: Spark's is a long, which has no -0.0, NaN or infinity and ends at 2**63."""
+    return F.when((x == 0) | (F.abs(x) >= 2.0**52), x).otherwise(F.floor(x).cast("double"))  # NaN counts as largest
+
+
 def missing(x: Column) -> Column:
     """NaN becomes null."""
     return F.when(~F.isnan(x), x)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quillon import vocab as V
 from quillon.functions.stats import column_profile, describe_by, score_distribution
-from quillon.functions.text import adequacy, cosine, escaped_html, py_round, py_round_sql, sql_literal, tokens
+from quillon.functions.text import adequacy, cosine, escaped_html, floor_double, py_round, py_round_sql, sql_literal, tokens
 from quillon.operators import graph as G
 from quillon.operators import metrics as M
 from quillon.plans import results as R
@@ -725,7 +725,7 @@ def sql_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT c_custkey, CASE WHEN v >= 7 THEN 'good' WHEN v >= 5 THEN 'mid' WHEN v IS NOT NULL THEN 'low' END AS band, CASE WHEN v IS NULL THEN 'n/a' ELSE printf('%.2f', v) END AS shown, least(100, greatest(0, coalesce(v, 0) * 10)) AS width FROM (SELECT c_custkey, CASE WHEN c_custkey % 9 <> 0 THEN floor(c_acctbal / 10) / 100 END AS v FROM customer)")
 def score_display(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value = F.when(F.col("c_custkey") % 9 != 0, F.floor(F.col("c_acctbal") / 10) / 100.0)
+    value = F.when(F.col("c_custkey") % 9 != 0, floor_double(F.col("c_acctbal") / 10) / 100.0)
     return T.table(spark, sf_dir, "customer").select("c_custkey", M.quality_band(value).alias("band"), S.shown(value).alias("shown"), S.bar_width(value).alias("width"))
 
 

@@ -220,7 +220,9 @@ def explanation() -> Column:
 
 
 def shown(score: Column, digits: int = 2) -> Column:
-    return F.when(score.isNotNull(), F.format_string(f"%.{digits}f", score)).otherwise("n/a")
+    """Fixed decimals; NaN and infinities spelled as printf does, which Java spells otherwise."""
+    endless = F.when(F.isnan(score), "nan").when(score == float("inf"), "inf").when(score == float("-inf"), "-inf")
+    return F.when(score.isNotNull(), F.coalesce(endless, F.format_string(f"%.{digits}f", score))).otherwise("n/a")
 
 
 def rank_text(rank: Column, total: Column) -> Column:

@@ -47,6 +47,19 @@ def test_query(spark, sql, name):
     assert canonical([tuple(r) for r in got.collect()], got.columns) == canonical(want.fetchall(), columns)
 
 
+def test_score_display_of_odd_balances(spark, tmp_path):
+    odd = [-0.0, 0.0, -0.01, 0.29, -5e-324, 699.99, 700.0, 9999.99, 1e20, -1e20, math.nan, math.inf, -math.inf, None]
+    rows = spark.createDataFrame([(9 * i + 1, x) for i, x in enumerate(odd)] + [(9, -0.0)], "c_custkey long, c_acctbal double")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    got = driver_queries.QUERIES["score_display"](spark, str(tmp_path))
+    with duckdb.connect() as own:
+        own.execute(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'")
+        want = own.execute(driver_queries.ORACLES["score_display"])
+        columns = [c[0] for c in want.description]
+        assert canonical([tuple(r) for r in got.select(columns).collect()], columns) == canonical(want.fetchall(), columns)
+    assert got.where("c_custkey = 1").first().shown == "-0.00"
+
+
 def test_every_query_has_sql():
     assert set(driver_queries.QUERIES) == set(driver_queries.ORACLES)
 
